@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from decidra.llm import components, cross_split, encoding, group_splits, leaks, mixing, near_dups
+from decidra.llm import components, cross_split, encoding, group_splits, leaks, mixing, near_dups, pii
 from decidra.session import scratch
 
 
@@ -98,5 +98,13 @@ def p7_items(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count("*").alias("documents"), F.count_if(F.col("longest") >= leaks.LONG_RUN).alias("long_runs"), F.max("coverage").alias("coverage"))
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.mentions(_table(spark, d, "documents"), _table(spark, d, "person_names")).select("doc_id", "kind", "start_pos").distinct()
+
+
+def p8_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redact(_table(spark, d, "documents"), _table(spark, d, "person_names"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_splits, p3_incremental, p4_found, p4_groups, p5_found, p5_shares, p5_mix, p6_ids, p6_round_trip, p7_found, p7_leaks, p7_items)}
+    return {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_splits, p3_incremental, p4_found, p4_groups, p5_found, p5_shares, p5_mix, p6_ids, p6_round_trip, p7_found, p7_leaks, p7_items, p8_found, p8_redacted)}
