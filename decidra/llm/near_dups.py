@@ -37,12 +37,14 @@ from decidra.llm import rtl
 from decidra.llm import textkernel as K
 from decidra.session import drop_scratch, scratch
 
-#: Groups per frequent class; tokens seen in more sets than PAIR_FROM are indexed as pairs, in more than TRIPLE_SHARE of all sets as triples.
-GROUPS, PAIR_FROM, TRIPLE_SHARE = 8, 48, 0.02
+#: Tokens seen in more sets than PAIR_FROM are indexed as pairs, in more than TRIPLE_SHARE of all sets as triples.
+PAIR_FROM, TRIPLE_FROM, TRIPLE_SHARE = 6, 200, 0.02
+#: Groups of the tokens that are indexed as pairs and as triples: many small groups make few combinations, but each loses k - 1 tokens.
+GROUPS = {2: 32, 3: 8}
 #: Signatures that a candidate must share; prefixes are longer by as many tokens less one.
 SHARED = 6
 #: Counters of the frequency sketch: 2 to this power, one byte each, whatever the data.
-SKETCH_BITS = 22
+SKETCH_BITS = 24
 #: The counters travel in blocks of 2 to this power.
 BLOCK_BITS = 16
 LONG = 4000
@@ -50,7 +52,7 @@ LONG = 4000
 
 def short_bound(likeness: float) -> int:
     """The least n from which n tokens cover a prefix even if each group loses k - 1 of them."""
-    return math.ceil((GROUPS * (1 + 2) + SHARED) / likeness) + 1
+    return math.ceil((sum((k - 1) * g for k, g in GROUPS.items()) + SHARED) / likeness) + 1
 
 
 def _bucket(tokens: np.ndarray) -> np.ndarray:
@@ -59,12 +61,13 @@ def _bucket(tokens: np.ndarray) -> np.ndarray:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sketch of one task's sets, as compressed blocks of counters."""
-    total, waiting, held = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
+    total, waiting, held = np.zeros(1 << SKETCH_BITS, np.uint16), [], 0
 
     def add() -> None:
         nonlocal held
         if waiting:
-            total[:] += np.bincount(np.concatenate(waiting), minlength=len(total)).astype(np.uint32)
+            buckets, n = np.unique(np.concatenate(waiting), return_counts=True)
+            total[buckets] = np.minimum(total[buckets] + n, 0xFFFF).astype(np.uint16)
             waiting.clear()
         held = 0
 
@@ -86,7 +89,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for k, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts = np.frombuffer(zlib.decompress(packed), np.uint32)
+            counts = np.frombuffer(zlib.decompress(packed), np.uint16)
             sums[k] = sums[k] + counts if k in sums else counts.astype(np.uint64)
     if sums:
         yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([scaled(x).tobytes() for x in sums.values()], pa.binary())], names=["block", "counts"])
@@ -117,20 +120,21 @@ def signatures(tokens: np.ndarray, sketch: np.ndarray, triple_from: float, liken
     count = sketch[_bucket(tokens)]
     order = np.argsort(count, kind="stable")
     ranked, count = tokens[order], count[order]
+    shared = count > scaled(np.float64(1))  # a token that one set alone has can't lead to a partner
     short = short_bound(likeness)
     single, combined = n <= short / likeness or n > LONG * likeness, short < n <= LONG
-    out = [K.mix64(ranked[:need])] if single else []
+    out = [K.mix64(ranked[:need][shared[:need]])] if single else []
     if combined:
         k = 1 + (count > scaled(np.float64(PAIR_FROM))).astype(np.int64) + (count > scaled(np.float64(triple_from)))
         rare = int(np.count_nonzero(k == 1))
-        if rare >= need:
-            out.append(K.mix64(ranked[:need] ^ np.uint64(0x5BD1E995)))
-        else:
-            out.append(K.mix64(ranked[:rare] ^ np.uint64(0x5BD1E995)))
+        alone = min(rare, need)
+        out.append(K.mix64(ranked[:alone][shared[:alone]] ^ np.uint64(0x5BD1E995)))
+        if rare < need:
             rest, covered, held = ranked[rare:], rare, {}
-            groups = ((rest >> np.uint64(7)) % np.uint64(GROUPS)).astype(np.int64) + GROUPS * k[rare:]
+            sizes = k[rare:]
+            groups = ((rest >> np.uint64(7)) % np.where(sizes == 2, GROUPS[2], GROUPS[3]).astype(np.uint64)).astype(np.int64) * 4 + sizes
             end = 0
-            for g, size in zip(groups.tolist(), k[rare:].tolist()):
+            for g, size in zip(groups.tolist(), sizes.tolist()):
                 if covered >= need:
                     break
                 own = held.setdefault(g, [])
@@ -139,7 +143,7 @@ def signatures(tokens: np.ndarray, sketch: np.ndarray, triple_from: float, liken
                 end += 1
             picks2, picks3 = [], []
             for g, own in held.items():
-                (picks2 if g < 3 * GROUPS else picks3).extend(combinations(own, 2 if g < 3 * GROUPS else 3))
+                (picks2 if g % 4 == 2 else picks3).extend(combinations(own, g % 4))
             for picks in (picks2, picks3):
                 if picks:
                     chosen = np.sort(rest[np.array(picks)], axis=1)
@@ -165,7 +169,7 @@ def _signatures(sketch: np.ndarray, triple_from: float, likeness: float):
 def near_classes(classes: DataFrame, likeness: float = rtl.LIKENESS) -> DataFrame:
     """(cid_a, cid_b, likeness) of all pairs of classes with at least that likeness."""
     sketch = frequency_sketch(classes)
-    triple_from = max(4.0 * PAIR_FROM, TRIPLE_SHARE * classes.count())
+    triple_from = max(TRIPLE_FROM, TRIPLE_SHARE * classes.count())
     postings = classes.select("cid", "n", "text").mapInArrow(_signatures(sketch, triple_from, likeness), "sig long, cid long, n int")
     a, b = (postings.select("sig", F.col("cid").alias(f"cid_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
     fewer, more = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")

@@ -26,6 +26,8 @@ SHINGLE = 3
 LIKENESS = 0.7
 #: Rows of a Python batch of texts with their shingles.
 ROWS = 2000
+#: Most class numbers that are broadcast (about 16 bytes each).
+MOST_SENT = 1_000_000
 
 
 def rtl_of_state(state: str | None) -> str | None:
@@ -152,10 +154,13 @@ def _verify(likeness: float):
 def verified(pairs: DataFrame, classes: DataFrame, likeness: float = LIKENESS) -> DataFrame:
     """Of candidate pairs (cid_a, cid_b) those whose exact Jaccard similarity is at least likeness.
 
-    Only texts of candidates travel: the classes are first reduced by a semi-join.
+    Only texts of candidates travel: the classes are first reduced to these, by a
+    broadcast of their numbers if there are at most MOST_SENT, else by a semi-join.
     """
     pairs = scratch(pairs, "pairs")
-    needed = pairs.select(F.explode(F.array("cid_a", "cid_b")).alias("cid")).distinct()
+    needed = scratch(pairs.select(F.explode(F.array("cid_a", "cid_b")).alias("cid")).distinct(), "pair-ids")
+    if needed.count() <= MOST_SENT:
+        needed = F.broadcast(needed)
     texts = scratch(classes.select("cid", "text").join(needed, "cid", "left_semi"), "pair-texts")
     return (
         pairs.join(texts.select(F.col("cid").alias("cid_a"), F.col("text").alias("text_a")), "cid_a")
