@@ -2,9 +2,9 @@
 
 Each class of equal shingle sets gets BANDS bucket keys of BAND_ROWS minwise
 hashes.  Only a train class and a validation, calibration or test class that
-share a bucket become a candidate; candidates are verified by exact Jaccard
-similarity.  A pair at the threshold 0.7 misses every bucket with probability
-(1 - 0.7**3)**32 < 2e-6, one at 0.75 with 3e-8.
+share BUCKETS_SHARED buckets become a candidate; candidates are verified by exact
+Jaccard similarity.  A pair at the threshold 0.7 is missed with probability 7e-6,
+one at 0.75 with 1e-8; one of 0.2 becomes a candidate with 3e-4.
 
 Defined results: null ids and ids without a split of interest yield nothing;
 records without RTL overlap only by their id; rows delivered twice count once;
@@ -24,7 +24,7 @@ from decidra.llm import rtl
 from decidra.llm import textkernel as K
 from decidra.session import drop_scratch, scratch
 
-BANDS, BAND_ROWS = 32, 3
+BANDS, BAND_ROWS, BUCKETS_SHARED = 80, 5, 2
 TRAIN, HELD_OUT = "train", ("validation", "calibration", "test")
 
 _MULTIPLIERS = (K.mix64(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)).reshape(BANDS, BAND_ROWS)
@@ -77,7 +77,15 @@ def cross_split_pairs(records: DataFrame, batches: DataFrame, likeness: float =
     a = bands.filter("trained").select("band", F.col("cid").alias("cid_t"), F.col("n").alias("n_t"))
     b = bands.filter("held").select("band", F.col("cid").alias("cid_h"), F.col("n").alias("n_h"))
     sized = F.least("n_t", "n_h") >= F.greatest("n_t", "n_h") * F.lit(likeness)
-    candidates = a.join(b, "band").filter((F.col("cid_t") != F.col("cid_h")) & sized).select(F.least("cid_t", "cid_h").alias("cid_a"), F.greatest("cid_t", "cid_h").alias("cid_b")).distinct()
+    candidates = (
+        a.join(b, "band")
+        .filter((F.col("cid_t") != F.col("cid_h")) & sized)
+        .groupBy(F.least("cid_t", "cid_h").alias("cid_a"), F.greatest("cid_t", "cid_h").alias("cid_b"), (F.col("cid_t") < F.col("cid_h")).alias("way"))
+        .agg(F.count("*").alias("shared"))
+        .filter(F.col("shared") >= BUCKETS_SHARED)
+        .select("cid_a", "cid_b")
+        .distinct()
+    )
     near = rtl.verified(candidates, classes, likeness).select("cid_a", "cid_b")
     within = classes.filter("trained and held").select(F.col("cid").alias("cid_a"), F.col("cid").alias("cid_b"))
     sides = scratch(members.join(classes.select("sid", "cid"), "sid").select("cid", "id", "trained", "held"), "split-members")
