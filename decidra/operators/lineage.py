@@ -28,14 +28,12 @@ def similar_classes(sets: DataFrame, least: float) -> DataFrame:
     seen = rows.groupBy("line").agg(F.count("*").alias("df"))
     ranked = rows.join(seen.filter("df > 1"), "line").withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy("df", "line")))
     # lines of one class only are the rarest and come first; they fill the prefix without being joined
-    alone = classes.select("cls", "n", F.size("ls").alias("all"))
     shared = ranked.groupBy("cls").agg(F.count("*").alias("common"))
     prefix = ranked.join(shared, "cls").withColumn("at", F.col("r") + F.col("n") - F.col("common")).filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * F.lit(least) - F.lit(1e-9)) + 1)
     a, b = (prefix.select("line", F.col("cls").alias(f"cls_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
     pairs = a.join(b, "line").filter((F.col("cls_a") < F.col("cls_b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(least))).select("cls_a", "cls_b").distinct()
     left, right = (classes.select(F.col("cls").alias(f"cls_{x}"), F.col("ls").alias(f"ls_{x}")) for x in "ab")
     counted = pairs.join(left, "cls_a").join(right, "cls_b").withColumn("shared", F.size(F.array_intersect("ls_a", "ls_b")))
-    del alone
     return counted.withColumn("jaccard", F.col("shared") / (F.size("ls_a") + F.size("ls_b") - F.col("shared"))).filter(F.col("jaccard") >= least).select("cls_a", "cls_b", "shared", "jaccard")
 
 

@@ -54,17 +54,12 @@ def label_weight(label_source: Column) -> Column:
     return F.coalesce(F.try_element_at(table, label_source), F.lit(UNKNOWN_WEIGHT))
 
 
-def is_object(text: Column) -> Column:
-    """Whether a text is a JSON object as a whole (decoded forms and arrays are left to the nested reader)."""
-    return F.coalesce(F.typeof(text) == "string", F.lit(True)) & F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
-
-
 def decisions(records: DataFrame, carry: Sequence[str] = ("id", "source")) -> DataFrame:
     """A row per record and gold head: the carried columns, qid, label_source, keys and probabilities in sorted key order, score, label, confidence.
 
     Records whose gold is no JSON object give no rows.
     """
-    gold = F.when(is_object(F.col("gold")), F.from_json("gold", GOLD_SCHEMA))
+    gold = F.from_json("gold", GOLD_SCHEMA)
     rows = records.select(*carry, F.explode(F.map_entries(gold)).alias("h"))
     keys = F.array_sort(F.map_keys("h.value.probabilities"))
     return rows.select(*carry, F.col("h.key").alias("qid"), F.col("h.value.label_source").alias("label_source"), keys.alias("keys"), F.transform(keys, lambda k: F.col("h.value.probabilities")[k]).alias("probabilities"), F.col("h.value.score").alias("score"), F.col("h.value.label").alias("label"), F.col("h.value.confidence").alias("confidence"))
@@ -72,7 +67,7 @@ def decisions(records: DataFrame, carry: Sequence[str] = ("id", "source")) -> Da
 
 def question_heads(records: DataFrame, carry: Sequence[str] = ("id", "source")) -> DataFrame:
     """A row per record and question of a JSON object: carried columns, qid, type."""
-    asked = F.when(is_object(F.col("questions")), F.from_json("questions", QUESTION_SCHEMA))
+    asked = F.from_json("questions", QUESTION_SCHEMA)
     return records.select(*carry, F.explode(F.map_entries(asked)).alias("q")).select(*carry, F.col("q.key").alias("qid"), F.col("q.value.type").alias("type"))
 
 

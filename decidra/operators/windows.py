@@ -55,8 +55,8 @@ def whole_groups_until(groups: DataFrame, key: str, size: str, share: float) ->
     """(key, size, held_out): whole groups in the order of their key's hash until they hold the share of all, rounded up."""
     total = groups.agg(F.coalesce(F.sum(size), F.lit(0)).alias("_t"))
     hashed = groups.withColumn("_h", F.sha2(F.col(key).cast("string"), 256))
-    run = ordered_number(hashed, [F.col("_h"), F.col(key)], F.col(size), "_run")
-    return run.crossJoin(F.broadcast(total)).withColumn("held_out", F.col("_run") - F.col(size) < F.ceil(F.col("_t") * share)).select(key, size, "held_out")  # total is one row
+    run = ordered_number(hashed, [F.col("_h"), F.col(key)], F.col(size), "_upto")
+    return run.crossJoin(F.broadcast(total)).withColumn("held_out", F.col("_upto") - F.col(size) < F.ceil(F.col("_t") * share)).select(key, size, "held_out")  # total is one row
 
 
 def greedy_chunks(df: DataFrame, by: str, order: str, size: str, most_size: int, most_rows: int, head: int = 0) -> DataFrame:

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from decidra.plans import decision_queries, event_queries, nested_queries, split_queries, text_queries
+from decidra.plans.base import Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
+_CATALOGUES = (split_queries.C, decision_queries.C, text_queries.C, event_queries.C)
 
 
 def queries() -> dict[str, Query]:
-    from decidra.plans import nested_queries
-
-    return {**nested_queries.queries()}
+    out = dict(nested_queries.queries())
+    for c in _CATALOGUES:
+        out |= c.queries
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for c in _CATALOGUES for k, v in c.sql.items()}
