@@ -28,7 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_questions": _node("question", {"type": "type:string", "instructions": "instructions:string"}, None, "qid"),
         "p2_criteria": lambda spark, d: nested.node_table(nested.flatten_decisions(_records(spark, d)), "criterion", {"plain": ":string", "text": "text:string"}, "qid", "criterion").select("id", "qid", "criterion", "ordinal", F.coalesce("plain", "text").alias("text")),
         "p2_gold": _node("gold", {"label_source": "label_source:string", "score": "score:double", "label": "label:string", "confidence": "confidence:double", "defensible": "defensible:boolean"}, None, "qid"),
-        "p2_probabilities": _node("probability", {"probability": ":double"}, "qid", "option"),
+        "p2_probabilities": lambda spark, d: nested.node_table(nested.flatten_decisions(_records(spark, d)), "probability", {"plain": ":double", "p": "p:double"}, "qid", "option").select("id", "qid", "option", "ordinal", F.coalesce("plain", "p").alias("probability")),
         "p2_trust_flags": _node("trust_flag", {"flag": ":string"}, None, "position"),
         "p2_reviews": _node("review", {"reviewer": "reviewer:string", "verdict": "verdict:string"}, None, "position"),
         "p2_findings": _node("finding", {"code": "code:string", "line": "line:int"}, "review", "position"),
