@@ -54,7 +54,7 @@ def read_tagged_csv(spark: SparkSession, paths: dict[str, str], schema: StructTy
 def read_text_tree(spark: SparkSession, root: str, glob: str) -> DataFrame:
     """(path, text) of all files below root whose names match; bytes that are no UTF-8 become replacement characters."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
-    return files.select("path", F.decode("content", "UTF-8").alias("text"))
+    return files.select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
 def joined_siblings(files: DataFrame) -> DataFrame:
