@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from decidra.functions import dist
 
 BINS = 15
+#: Options up to which a sum over them is written out, so that it is compiled.
+UNROLLED = 16
 
 
 def observations(df: DataFrame, qtype: Column, pred: Column, gold: Column) -> DataFrame:
@@ -55,7 +57,16 @@ def grouped_report(obs: DataFrame, groupings: Sequence[str]) -> DataFrame:
 def temperature_grid(heads: DataFrame, by: str, logits: Column, target: Column, low: float = 0.5, high: float = 5.0, step: float = 0.05, least: int = 10) -> DataFrame:
     """(by, temperature, nll): for each group the grid temperature of the lowest mean cross-entropy, the lower of equals; groups of fewer than least rows get 1."""
     n = int(round((high - low) / step)) + 1
-    grid = F.array(*[F.lit(round(low + i * step, 6)) for i in range(n)])
-    losses = heads.select(by, F.posexplode(F.transform(grid, lambda t: dist.cross_entropy(logits, target, t))).alias("i", "loss")).groupBy(by, "i").agg(F.count("*").alias("n"), F.avg("loss").alias("nll"))
+    values = [round(low + i * step, 6) for i in range(n)]
+    grid = F.array(*map(F.lit, values))
+    # cross-entropy is log(sum of exp(x / t)) - (target . x) / t with x the logits below their largest
+    top = F.array_max("_z")
+    heads = heads.select(by, logits.alias("_z"), target.alias("_t")).select(by, F.transform("_z", lambda x: x - top).alias("_x"), dist.dot(F.transform("_z", lambda x: x - top), F.col("_t")).alias("_d"), dist.total(F.col("_t")).alias("_m"))
+    tried = heads.select("*", F.posexplode(grid).alias("i", "t"))
+    unrolled = sum((F.when(F.size("_x") > k, F.exp(F.get("_x", F.lit(k)) / F.col("t"))).otherwise(F.lit(0.0)) for k in range(UNROLLED)), F.lit(0.0))
+    folded = dist.total(F.transform("_x", lambda x: F.exp(x / F.col("t"))))
+    loss = lambda mass: (F.col("_m") * F.log(mass) - F.col("_d") / F.col("t")).alias("loss")
+    few, many = F.size("_x") <= UNROLLED, F.size("_x") > UNROLLED
+    losses = tried.filter(few).select(by, "i", loss(unrolled)).unionByName(tried.filter(many).select(by, "i", loss(folded))).groupBy(by, "i").agg(F.count("*").alias("n"), F.avg("loss").alias("nll"))
     best = losses.groupBy(by).agg(F.min_by("i", F.struct(F.round("nll", 9), "i")).alias("i"), F.min("nll").alias("nll"), F.max("n").alias("n"))
     return best.select(by, "n", F.when(F.col("n") < least, F.lit(1.0)).otherwise(F.get(grid, F.col("i"))).alias("temperature"), "nll")

@@ -33,3 +33,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_reviews": _node("review", {"reviewer": "reviewer:string", "verdict": "verdict:string"}, None, "position"),
         "p2_findings": _node("finding", {"code": "code:string", "line": "line:int"}, "review", "position"),
     }
+
+
+def _decoded(column: str) -> str:
+    out = column
+    for _ in range(3):
+        out = f"(CASE WHEN {out} IS NULL OR NOT json_valid({out}) THEN NULL WHEN json_type({out}) = 'VARCHAR' THEN {out} ->> '$' ELSE {out} END)"
+    return f"(CASE WHEN json_valid({out}) THEN {out} END)"
+
+
+#: The child rows of decision records.
+CHILDREN_SQL = f"""
+WITH d AS (SELECT id, {_decoded("questions")} AS q, {_decoded("gold")} AS g, provenance FROM veribugbench_5q WHERE id IS NOT NULL),
+qs AS (SELECT d.id AS id, CASE WHEN json_type(q) = 'OBJECT' THEN e.key ELSE e.value ->> '$.qid' END AS qid, e.value -> '$.criteria' AS c FROM d, json_each(CASE WHEN json_type(q) IN ('OBJECT', 'ARRAY') THEN q END) e),
+cs AS (SELECT qs.id AS id, qid, CASE WHEN json_type(c) = 'OBJECT' THEN e.key WHEN json_type(e.value) = 'OBJECT' THEN e.value ->> '$.key' ELSE e.key END AS k FROM qs, json_each(CASE WHEN json_type(c) IN ('OBJECT', 'ARRAY') THEN c END) e),
+gs AS (SELECT d.id AS id, CASE WHEN json_type(g) = 'OBJECT' THEN e.key ELSE e.value ->> '$.qid' END AS qid, e.value -> '$.probabilities' AS c FROM d, json_each(CASE WHEN json_type(g) IN ('OBJECT', 'ARRAY') THEN g END) e),
+ps AS (SELECT gs.id AS id, qid, CASE WHEN json_type(c) = 'OBJECT' THEN e.key WHEN json_type(e.value) = 'OBJECT' THEN e.value ->> '$.option' ELSE e.key END AS k FROM gs, json_each(CASE WHEN json_type(c) IN ('OBJECT', 'ARRAY') THEN c END) e),
+rs AS (SELECT id, unnest(provenance.reviews) AS r, generate_subscripts(provenance.reviews, 1) - 1 AS i FROM d)
+SELECT DISTINCT id, 'question' AS node, '' AS parent_key, qid AS item_key FROM qs WHERE qid IS NOT NULL
+UNION SELECT id, 'criterion', qid, k::VARCHAR FROM cs WHERE qid IS NOT NULL AND k IS NOT NULL
+UNION SELECT id, 'gold', '', qid FROM gs WHERE qid IS NOT NULL
+UNION SELECT id, 'probability', qid, k::VARCHAR FROM ps WHERE qid IS NOT NULL AND k IS NOT NULL
+UNION SELECT id, 'trust_flag', '', (generate_subscripts(provenance.trust_flags, 1) - 1)::VARCHAR FROM d
+UNION SELECT id, 'review', '', i::VARCHAR FROM rs
+UNION SELECT id, 'finding', i::VARCHAR, (generate_subscripts(r.findings, 1) - 1)::VARCHAR FROM rs"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"p2_found": CHILDREN_SQL}

@@ -16,4 +16,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for c in _CATALOGUES for k, v in c.sql.items()}
+    return nested_queries.oracle_sql() | {k: v for c in _CATALOGUES for k, v in c.sql.items()}
