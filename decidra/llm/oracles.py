@@ -15,9 +15,56 @@ totals AS (
   SELECT plan_id, sum(s) AS total FROM (SELECT DISTINCT plan_id, k FROM plans) LEFT JOIN source_sizes USING (k) GROUP BY plan_id)
 """
 
+_CLEAN = "CASE WHEN lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')) NOT IN ('', '-', 'n/a', 'unknown') THEN lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')) END"
+
+_LINKS = f"""
+ids AS (SELECT DISTINCT id FROM veribugbench_5q WHERE id IS NOT NULL),
+links AS (
+  SELECT id, 'g' AS kind, {_CLEAN.format("source_group")} AS v FROM veribugbench_5q
+  UNION SELECT id, 'm', {_CLEAN.format("provenance.maintainer")} FROM veribugbench_5q
+  UNION SELECT id, 'p', {_CLEAN.format("provenance.project_id")} FROM veribugbench_5q
+  UNION SELECT id, 'p', {_CLEAN.format("project")} FROM batch_06_mux_4_1 WHERE id IN (SELECT id FROM ids)),
+keys AS (SELECT id, kind || ':' || v AS k, v FROM links WHERE v IS NOT NULL AND id IS NOT NULL),
+first_key AS (SELECT id, min(k) AS k FROM keys GROUP BY id),
+edges AS (SELECT f.k AS u, keys.k AS v FROM first_key f JOIN keys USING (id) UNION SELECT keys.k, f.k FROM first_key f JOIN keys USING (id)),
+reach AS (SELECT u AS node, u AS other FROM edges UNION SELECT reach.node, edges.v FROM reach JOIN edges ON edges.u = reach.other),
+names AS (SELECT node, min(substr(other, 3)) AS name FROM reach GROUP BY node)
+"""
+
+#: Ids that share a run of three tokens, with how many, from all designs.
+_LIKE = """
+designs AS (
+  SELECT id, buggy_rtl AS rtl FROM batch_06_mux_4_1
+  UNION SELECT id, CASE WHEN NOT json_valid(state) THEN state ELSE CASE json_type(state)
+      WHEN 'OBJECT' THEN state ->> '$.buggy_rtl' WHEN 'ARRAY' THEN state ->> '$[0].buggy_rtl'
+      WHEN 'VARCHAR' THEN CASE WHEN json_valid(state ->> '$') THEN (state ->> '$') ->> '$.buggy_rtl' ELSE state ->> '$' END END END FROM veribugbench_5q),
+tokens AS (
+  SELECT id, regexp_extract_all(lower(regexp_replace(rtl, '//[^\\n]*|/\\*(?s:.)*?\\*/', ' ', 'g')), '[\\p{L}\\p{N}_]+|[^\\s\\x0b\\p{L}\\p{N}_]') AS t
+  FROM designs WHERE id IS NOT NULL AND rtl IS NOT NULL AND trim(rtl) <> ''),
+runs AS (SELECT DISTINCT id, hash(t[i], t[i + 1], t[i + 2]) AS h FROM tokens, range(1, 100000) r(i) WHERE i <= len(t) - 2),
+sizes AS (SELECT id, count(*) AS n FROM runs GROUP BY id),
+shared AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS s FROM runs a JOIN runs b ON a.h = b.h AND a.id < b.id GROUP BY 1, 2),
+alike AS (SELECT id_a, id_b FROM shared JOIN sizes x ON x.id = id_a JOIN sizes y ON y.id = id_b WHERE s >= 0.7 * (x.n + y.n - s))
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p3_found": f"""
+WITH RECURSIVE {_LINKS}
+SELECT ids.id, coalesce(names.name, ids.id) AS group_key FROM ids LEFT JOIN first_key USING (id) LEFT JOIN names ON names.node = first_key.k""",
+        "p4_found": f"WITH {_LIKE} SELECT id_a, id_b FROM alike",
+        "p1_found": f"""
+WITH {_LIKE}, s AS (SELECT id, lower(regexp_replace(provenance.split, '^\\s+|\\s+$', '', 'g')) AS split FROM veribugbench_5q WHERE id IS NOT NULL),
+sides AS (SELECT id, bool_or(split = 'train') AS t, bool_or(split IN ('validation', 'calibration', 'test')) AS h FROM s WHERE split IN ('train', 'validation', 'calibration', 'test') GROUP BY id)
+SELECT id_a, id_b FROM alike JOIN sides a ON a.id = id_a JOIN sides b ON b.id = id_b WHERE a.t AND b.h OR a.h AND b.t
+UNION ALL SELECT id, id FROM sides WHERE t AND h""",
+        "p7_found": """
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+q AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM test_items WHERE text IS NOT NULL),
+dg AS (SELECT doc_id, array_to_string(w[i:i + 11], ' ') AS g FROM d, range(1, 1000000) r(i) WHERE i <= len(w) - 11),
+qg AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 11], ' ') AS g FROM q, range(1, 1000) r(i) WHERE i <= len(w) - 11)
+SELECT DISTINCT doc_id, item_id FROM dg JOIN qg USING (g)""",
         "p5_found": f"""
 WITH {_SIZES}
 SELECT plan_id, source FROM plans JOIN totals USING (plan_id) LEFT JOIN source_sizes USING (k)
