@@ -114,6 +114,7 @@ FRAMES = (
     "Send to mailbox@{w} only in {w} builds.",
     "maps to 0x{h} in the table",
     "seed={d} cov={d}% hash={h}",
+    "seed={d} cov={d}% hash={l}",
     "Between 2025-0{s}-1{s} and 2025-0{s}-2{s} the failure rate went up.",
     "Laut Tabelle müsste {w} den Wert führen.",
     "Der Fehler tritt erst ab {d} Zyklen auf.",
@@ -140,6 +141,13 @@ FRAMES = (
     "In {w} the signal drops to x. For the {d}-entry version everything passes.",
     "If ({w} && {d}) holds, {w} wraps early. Driver Pins are swapped.",
     "Width of {w} is {d} bits. Nobody has a wave dump for seed {d}.",
+    "Revisa rtl/{w}.sv antes de integrar {l}.",
+    "Relire rtl/{w}.sv avant de fusionner {l}.",
+    "Of the registers {w} and {w}, A second reviewer ought to prove which one fails, or explain why no answer exists.",
+    "With {w} high, the candidate should argue whether {w} explains hidden latches, and rank three alternatives.",
+    "Consider {w} after {d} beats: doubled strobes appear on {w} while power sequencing runs for {d} rounds, within a single sentence.",
+    "Given {w} and mirrored tags beside orphan grants, each solver must decide how {w} ended at {d} when parity is clean.",
+    "For {w}, the panel cannot assume a repair of {w} that keeps retained pulses away from {w} although the bus looks idle past {d}.",
     "Deadline of the {c} board is Friday.",
     "The {c} license server is down.",
     "{c} shipped the new probe.",
