@@ -18,7 +18,7 @@ def clip(text: Column, limit: int) -> Column:
 
 def lines(text: Column) -> Column:
     """Lines at any line end, without the empty one that a final line end leaves."""
-    return F.split(F.regexp_replace(text, r"(\r\n|\r|\n)$", ""), r"\r\n|\r|\n")
+    return F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n")
 
 
 def stripped_lines(text: Column, longer_than: int = 0) -> Column:
