@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from decidra.functions import text as tx
 
 
-def shared_lines(a: DataFrame, a_key: str, a_text: Column, b: DataFrame, b_key: str, b_text: Column, longer_than: int = 8) -> DataFrame:
-    """(a_key, b_key, lines): pairs of texts and how many distinct stripped lines they share, joined by the line."""
-    x = a.select(a_key, F.explode(tx.stripped_lines(a_text, longer_than)).alias("line"))
-    y = b.select(b_key, F.explode(tx.stripped_lines(b_text, longer_than)).alias("line"))
-    return x.join(y, "line").groupBy(a_key, b_key).agg(F.count("*").alias("lines"))
+def lines_found_in(a: DataFrame, key: str, text: Column, b: DataFrame, b_text: Column, longer_than: int = 8) -> DataFrame:
+    """(key, lines): texts of a with lines that stand anywhere in b, and how many distinct ones.
+
+    b counts as a set of lines, so a line that many texts share makes no pairs.
+    """
+    x = a.select(key, F.explode(tx.stripped_lines(text, longer_than)).alias("line")).distinct()
+    y = b.select(F.explode(tx.stripped_lines(b_text, longer_than)).alias("line")).distinct()
+    return x.join(y, "line", "left_semi").groupBy(key).agg(F.count("*").alias("lines"))
 
 
 def contained_prefixes(docs: DataFrame, key: str, text: Column, items: DataFrame, item_key: str, item_text: Column, length: int = 40, most: int = 10_000) -> DataFrame:

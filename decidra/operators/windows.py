@@ -6,6 +6,7 @@ the order and offsets from these, so no task sees the whole table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -53,10 +54,10 @@ def ordered_number(df: DataFrame, order: Sequence[Column], weight: Column | None
 
 def whole_groups_until(groups: DataFrame, key: str, size: str, share: float) -> DataFrame:
     """(key, size, held_out): whole groups in the order of their key's hash until they hold the share of all, rounded up."""
-    total = groups.agg(F.coalesce(F.sum(size), F.lit(0)).alias("_t"))
+    total = groups.agg(F.coalesce(F.sum(size), F.lit(0)).alias("t")).first()["t"]
     hashed = groups.withColumn("_h", F.sha2(F.col(key).cast("string"), 256))
     run = ordered_number(hashed, [F.col("_h"), F.col(key)], F.col(size), "_upto")
-    return run.crossJoin(F.broadcast(total)).withColumn("held_out", F.col("_upto") - F.col(size) < F.ceil(F.col("_t") * share)).select(key, size, "held_out")  # total is one row
+    return run.withColumn("held_out", F.col("_upto") - F.col(size) < F.lit(math.ceil(total * share))).select(key, size, "held_out")
 
 
 def greedy_chunks(df: DataFrame, by: str, order: str, size: str, most_size: int, most_rows: int, head: int = 0) -> DataFrame:

@@ -123,12 +123,13 @@ def token_lengths(spark, d):
 @C.add(f"""
 WITH a AS (SELECT doc_id, unnest({_STRIPPED.format('text', 8)}) AS line FROM documents WHERE crawled_at < TIMESTAMP '2025-10-01'),
 b AS (SELECT doc_id AS later_id, unnest({_STRIPPED.format('text', 8)}) AS line FROM documents WHERE crawled_at >= TIMESTAMP '2025-10-01')
-SELECT doc_id, later_id, count(*) AS lines FROM a JOIN b USING (line) GROUP BY doc_id, later_id""")
+SELECT later_id, count(DISTINCT line) AS lines FROM b WHERE line IN (SELECT line FROM a) GROUP BY later_id""")
 def leak_lines(spark, d):
-    """Lines of earlier crawled documents that stand in later ones."""
+    """Later crawled documents with lines that stand in earlier ones, and how many."""
     docs = table(spark, d, "documents")
     cut = F.lit("2025-10-01 00:00:00").cast("timestamp_ntz")
-    return leakage.shared_lines(docs.filter(F.col("crawled_at") < cut), "doc_id", F.col("text"), docs.filter(F.col("crawled_at") >= cut).withColumnRenamed("doc_id", "later_id"), "later_id", F.col("text"))
+    later = docs.filter(F.col("crawled_at") >= cut).withColumnRenamed("doc_id", "later_id")
+    return leakage.lines_found_in(later, "later_id", F.col("text"), docs.filter(F.col("crawled_at") < cut), F.col("text"))
 
 
 @C.add("SELECT doc_id, item_id FROM documents JOIN test_items t ON length(t.text) >= 40 AND contains(documents.text, substr(t.text, 1, 40))")

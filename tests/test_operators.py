@@ -180,6 +180,12 @@ def test_line_bags_and_patches(spark, rows):
     assert rows(leakage.patch_check(p, "k", F.col("p"), F.col("b"), F.col("a"))) == [(1, True, True), (2, False, False), (3, True, False)]
 
 
+def test_lines_found_elsewhere(spark, rows):
+    a = spark.createDataFrame([(1, "shared line\nown line x"), (2, "nothing here"), (3, None), (4, "shared line\n shared line ")], "k int, t string")
+    b = spark.createDataFrame([("x", "shared line\nshared line"), ("y", "shared line"), ("z", None)], "k string, t string")
+    assert rows(leakage.lines_found_in(a, "k", F.col("t"), b, F.col("t"))) == [(1, 1), (4, 1)]
+
+
 def test_prefixes(spark, rows):
     docs = spark.createDataFrame([(1, "say abcde now"), (2, "abc"), (3, None)], "d int, t string")
     items = spark.createDataFrame([(7, "abcdefg"), (8, "ab"), (9, None)], "i int, t string")
