@@ -88,8 +88,10 @@ def cross_split_pairs(records: DataFrame, batches: DataFrame, likeness: float =
     )
     near = rtl.verified(candidates, classes, likeness).select("cid_a", "cid_b")
     within = classes.filter("trained and held").select(F.col("cid").alias("cid_a"), F.col("cid").alias("cid_b"))
-    sides = scratch(members.join(classes.select("sid", "cid"), "sid").select("cid", "id", "trained", "held"), "split-members")
     links = scratch(near.unionByName(within), "split-links")
+    sides = scratch(members.join(classes.select("sid", "cid"), "sid").select("cid", "id", "trained", "held"), "split-members")
+    for done in (bands, classes, found.members):  # nothing below reads them
+        drop_scratch(done)
     both_ways = links.unionByName(links.filter("cid_a <> cid_b").select(F.col("cid_b").alias("cid_a"), F.col("cid_a").alias("cid_b")))
     pairs = (
         both_ways.join(sides.filter("trained").select(F.col("cid").alias("cid_a"), F.col("id").alias("id_t")), "cid_a")
