@@ -19,6 +19,7 @@ the last one of a column stands; records with a null key are dropped.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -296,3 +297,123 @@ def flatten_decisions(records: DataFrame, values: bool = True) -> DataFrame:
     keep = {"ignoreNullFields": "false"}
     parts = {"questions": F.col("questions"), "gold": F.col("gold"), "trust_flags": F.to_json("provenance.trust_flags", keep), "reviews": F.to_json("provenance.reviews", keep)}
     return flatten(records, F.col("id"), parts, DECISION_NODES, values)
+
+
+def _loaded(text: str | None):
+    """The value of a JSON text, its numbers as text, re-encoded JSON decoded; None if it is not valid JSON as a whole, a string that holds none as it is."""
+    if not text:
+        return None
+
+    def refuse(x):
+        raise ValueError(x)
+
+    try:
+        value = json.loads(text, parse_int=str, parse_float=str, parse_constant=refuse)
+    except ValueError:
+        return None
+    except RecursionError:
+        value = _built(triples(text))
+    return _decoded(value)
+
+
+def _built(found: list[tuple[tuple, str, str | None]] | None):
+    """The value that the triples of a text describe, however deep."""
+    at: dict[tuple, dict | list] = {}
+    root = None
+    for path, kind, value in found or ():
+        node = {} if kind == "object" else [] if kind == "array" else value == "true" if kind == "boolean" else value
+        if kind in ("object", "array"):
+            at[path] = node
+        if not path:
+            root = node
+        elif isinstance(held := at[path[:-1]], dict):
+            held[path[-1]] = node
+        else:
+            held.append(node)
+    return root
+
+
+def _decoded(value):
+    inner = _loaded(value) if isinstance(value, str) and value[:1] in ("{", "[", '"', " ", "\n", "\t", "\r") else None
+    return value if inner is None else inner
+
+
+def _scalar(value) -> str | None:
+    return value if isinstance(value, str) else str(value).lower() if isinstance(value, bool) else None
+
+
+def _number(value) -> float | None:
+    try:
+        return float(value) if isinstance(value, str) else None
+    except ValueError:
+        return None
+
+
+def _elements(value, key: str, plain_by_position: bool = False) -> list[tuple[str, object]]:
+    """The children (key, value) of an object, or of a list whose elements carry their key."""
+    if isinstance(value, dict):
+        return [(k, _decoded(v)) for k, v in value.items()]
+    out = []
+    for i, v in enumerate(value if isinstance(value, list) else ()):
+        v = _decoded(v)
+        k = _scalar(v.get(key)) if isinstance(v, dict) else str(i) if plain_by_position else None
+        if k is not None:
+            out.append((k, v))
+    return out
+
+
+def _options(value) -> tuple[list[str], list[float | None]] | None:
+    """Options and probabilities: by option, or in the order of the list if it has no options."""
+    value = _decoded(value)
+    if not isinstance(value, (dict, list)):
+        return None
+    found = dict(_elements(value, "option", plain_by_position=True))
+    p = {k: _number(v.get("p") if isinstance(v, dict) else v) for k, v in found.items()}
+    keys = list(p) if isinstance(value, list) and not any(isinstance(v, dict) for v in found.values()) else sorted(p)
+    return keys, [p[k] for k in keys]
+
+
+def _head(qid: str, value) -> dict:
+    h = value if isinstance(value, dict) else {}
+    options = _options(h.get("probabilities"))
+    return {
+        "qid": qid,
+        "type": _scalar(h.get("type")),
+        "label_source": _scalar(h.get("label_source")),
+        "keys": options and options[0],
+        "probabilities": options and options[1],
+        "score": _number(h.get("score")),
+        "label": _scalar(h.get("label")),
+        "confidence": _number(h.get("confidence")),
+    }
+
+
+_HEADS = pa.list_(pa.struct([("qid", pa.string()), ("type", pa.string()), ("label_source", pa.string()), ("keys", pa.list_(pa.string())), ("probabilities", pa.list_(pa.float64())), ("score", pa.float64()), ("label", pa.string()), ("confidence", pa.float64())]))
+
+
+def _without_surrogates(value):
+    if isinstance(value, str):
+        return value.encode("utf-8", "replace").decode()
+    if isinstance(value, list):
+        return [_without_surrogates(v) for v in value]
+    return {k: _without_surrogates(v) for k, v in value.items()} if isinstance(value, dict) else value
+
+
+def heads_of(text: str | None) -> list[dict] | None:
+    """The heads of a questions or gold text, an object keyed by question or a list whose elements carry qid; None if it is neither."""
+    value = _loaded(text)
+    return [_head(k, v) for k, v in _elements(value, "qid")] if isinstance(value, (dict, list)) else None
+
+
+def heads(text: Column) -> Column:
+    """heads_of as an array of (qid, type, label_source, keys, probabilities, score, label, confidence); keys sorted, those of plain lists in their order."""
+
+    @F.arrow_udf("array<struct<qid: string, type: string, label_source: string, keys: array<string>, probabilities: array<double>, score: double, label: string, confidence: double>>")
+    def run(texts: pa.Array) -> pa.Array:
+        found = [heads_of(t) for t in texts.to_pylist()]
+        try:
+            return pa.array(found, _HEADS)
+        except UnicodeEncodeError:
+            return pa.array(_without_surrogates(found), _HEADS)
+
+    return run(text)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from decidra.functions import dist
+from decidra.operators import nested
 
 GOLD_SCHEMA = T.MapType(T.StringType(), T.StructType([
     T.StructField("probabilities", T.MapType(T.StringType(), T.DoubleType())),
@@ -57,18 +58,16 @@ def label_weight(label_source: Column) -> Column:
 def decisions(records: DataFrame, carry: Sequence[str] = ("id", "source")) -> DataFrame:
     """A row per record and gold head: the carried columns, qid, label_source, keys and probabilities in sorted key order, score, label, confidence.
 
-    Records whose gold is no JSON object give no rows.
+    Gold may be keyed by question, a list whose elements carry qid, or either re-encoded; probabilities likewise.
+    Records whose gold is none of these give no rows.
     """
-    gold = F.from_json("gold", GOLD_SCHEMA)
-    rows = records.select(*carry, F.explode(F.map_entries(gold)).alias("h"))
-    keys = F.array_sort(F.map_keys("h.value.probabilities"))
-    return rows.select(*carry, F.col("h.key").alias("qid"), F.col("h.value.label_source").alias("label_source"), keys.alias("keys"), F.transform(keys, lambda k: F.col("h.value.probabilities")[k]).alias("probabilities"), F.col("h.value.score").alias("score"), F.col("h.value.label").alias("label"), F.col("h.value.confidence").alias("confidence"))
+    rows = records.select(*carry, F.explode(nested.heads(F.col("gold"))).alias("h"))
+    return rows.select(*carry, *[F.col(f"h.{c}").alias(c) for c in ("qid", "label_source", "keys", "probabilities", "score", "label", "confidence")])
 
 
 def question_heads(records: DataFrame, carry: Sequence[str] = ("id", "source")) -> DataFrame:
-    """A row per record and question of a JSON object: carried columns, qid, type."""
-    asked = F.from_json("questions", QUESTION_SCHEMA)
-    return records.select(*carry, F.explode(F.map_entries(asked)).alias("q")).select(*carry, F.col("q.key").alias("qid"), F.col("q.value.type").alias("type"))
+    """A row per record and question, in any of the forms of decisions: carried columns, qid, type."""
+    return records.select(*carry, F.explode(nested.heads(F.col("questions"))).alias("q")).select(*carry, F.col("q.qid").alias("qid"), F.col("q.type").alias("type"))
 
 
 def key_differences(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

@@ -140,8 +140,8 @@ SELECT qid, count(*) AS n, count(DISTINCT id) AS records FROM base GROUP BY qid"
 def base_questions(spark, d):
     """The projection of five heads to the three base ones."""
     keep = ("evidence_sufficient", "next_action", "root_cause_type")
-    g = F.map_filter(F.from_json("gold", R.GOLD_SCHEMA), lambda k, v: k.isin(*keep))
-    return table(spark, d, "veribugbench_5q").select("id", F.explode(F.map_keys(g)).alias("qid")).groupBy("qid").agg(F.count("*").alias("n"), F.count_distinct("id").alias("records"))
+    h = R.decisions(table(spark, d, "veribugbench_5q")).filter(F.col("qid").isin(*keep))
+    return h.groupBy("qid").agg(F.count("*").alias("n"), F.count_distinct("id").alias("records"))
 
 
 @C.add(f"""

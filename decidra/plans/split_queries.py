@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from decidra.functions import hashing
+from decidra.operators import nested
 from decidra.operators import records as R
 from decidra.operators import windows
 from decidra.plans.base import Catalogue, table
@@ -147,9 +148,10 @@ s AS (SELECT source, qid, CASE
 SELECT source, qid, reason, count(*) AS n FROM s GROUP BY source, qid, reason""")
 def skip_ledger(spark, d):
     """Questions by why they have no usable gold head."""
-    rows = table(spark, d, "veribugbench_5q").select("source", F.explode(F.map_keys(F.from_json("questions", R.QUESTION_SCHEMA))).alias("qid"), F.from_json("gold", R.GOLD_SCHEMA).alias("g"))
-    head = F.try_element_at("g", F.col("qid"))
-    reason = F.when(F.col("g").isNull(), "no gold").when(~F.map_contains_key("g", F.col("qid")), "no head").when(head["probabilities"].isNull(), "no probabilities").otherwise("kept")
+    v = table(spark, d, "veribugbench_5q").select("source", "questions", nested.heads(F.col("gold")).alias("g"))
+    rows = R.question_heads(v, ("source", "g"))
+    own = F.filter("g", lambda h: h["qid"] == F.col("qid"))
+    reason = F.when(F.col("g").isNull(), "no gold").when(F.size(own) == 0, "no head").when(F.forall(own, lambda h: h["probabilities"].isNull()), "no probabilities").otherwise("kept")
     return rows.select("source", "qid", reason.alias("reason")).groupBy("source", "qid", "reason").agg(F.count("*").alias("n"))
 
 

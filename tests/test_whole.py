@@ -1,0 +1,76 @@
+"""Queries over all of their input, against SQL of their own where the registered SQL covers less."""
+
+import json
+from pathlib import Path
+
+import pytest
+
+from decidra.operators import nested, records
+from decidra.plans import registry
+from decidra.plans.nested_queries import _decoded
+from decidra.plans.split_queries import HEADS_SQL
+
+TABLES = Path("/root/testdata/sf0.01")
+here = pytest.mark.skipif(not TABLES.exists(), reason="the driver's tables are not here")
+
+#: The heads of gold in all its forms, in the columns of HEADS_SQL.
+HEADS = f"""
+d AS (SELECT id, source, {_decoded("gold")} AS g FROM veribugbench_5q),
+hs AS (SELECT d.id AS id, d.source AS source, CASE WHEN json_type(g) = 'OBJECT' THEN e.key ELSE e.value ->> '$.qid' END AS qid, e.value AS value, e.value -> '$.probabilities' AS c
+  FROM d, json_each(CASE WHEN json_type(g) IN ('OBJECT', 'ARRAY') THEN g END) e),
+heads AS (SELECT id, source, qid, value ->> '$.label_source' AS label_source,
+  CASE WHEN json_type(c) = 'ARRAY' THEN (SELECT json_group_object(e.value ->> '$.option', (e.value ->> '$.p')::DOUBLE) FROM json_each(CASE WHEN json_type(c) = 'ARRAY' THEN c END) e WHERE e.value ->> '$.option' IS NOT NULL) ELSE c END AS probs,
+  (value ->> '$.score')::DOUBLE AS score, value ->> '$.label' AS label, (value ->> '$.confidence')::DOUBLE AS confidence FROM hs WHERE qid IS NOT NULL)"""
+SKIPS = f"""
+WITH d AS (SELECT source, {_decoded("questions")} AS q, {_decoded("gold")} AS g FROM veribugbench_5q),
+qs AS (SELECT source, g, CASE WHEN json_type(q) = 'OBJECT' THEN e.key ELSE e.value ->> '$.qid' END AS qid FROM d, json_each(CASE WHEN json_type(q) IN ('OBJECT', 'ARRAY') THEN q END) e),
+s AS (SELECT source, qid, g, (SELECT max(CASE WHEN json_type(h.value -> '$.probabilities') IN ('OBJECT', 'ARRAY') THEN 2 ELSE 1 END) FROM json_each(CASE WHEN json_type(g) IN ('OBJECT', 'ARRAY') THEN g END) h
+  WHERE CASE WHEN json_type(g) = 'OBJECT' THEN h.key ELSE h.value ->> '$.qid' END = qid) AS found FROM qs WHERE qid IS NOT NULL)
+SELECT source, qid, CASE WHEN g IS NULL OR json_type(g) NOT IN ('OBJECT', 'ARRAY') THEN 'no gold' WHEN found IS NULL THEN 'no head' WHEN found = 1 THEN 'no probabilities' ELSE 'kept' END AS reason, count(*) AS n FROM s GROUP BY ALL"""
+OF_HEADS = ("training_mass", "tier_counts", "base_questions", "probability_audit", "score_expectation", "dominant_category", "temperature_grid", "option_permute", "weighted_mean", "prior_disagreement", "level_counts", "within_one_level")
+
+
+def equal(spark, name, sql):
+    import duckdb
+
+    con = duckdb.connect()
+    for p in TABLES.glob("*.parquet"):
+        con.execute(f"create view {p.stem} as select * from '{p}'")
+    got = registry.queries()[name](spark, str(TABLES))
+    rel = con.sql(sql)
+    at = [rel.columns.index(c) for c in got.columns]
+    norm = lambda v: round(float(v), 6) if isinstance(v, (int, float)) and not isinstance(v, bool) else v
+    found = sorted(str([norm(x) for x in r]) for r in got.collect())
+    assert found and found == sorted(str([norm(r[i]) for i in at]) for r in rel.fetchall())
+
+
+@here
+@pytest.mark.parametrize("name", OF_HEADS)
+def test_heads_of_all_forms_of_gold(spark, name):
+    sql = registry.oracle_sql()[name]
+    assert HEADS_SQL in sql
+    equal(spark, name, sql.replace(HEADS_SQL, HEADS))
+
+
+@here
+def test_skips_of_all_forms_of_questions(spark):
+    equal(spark, "skip_ledger", SKIPS)
+
+
+def test_decisions_of_all_forms(spark, rows):
+    keyed = {"risk": {"type": "score", "probabilities": {"1": 0.75, "0": 0.25}, "score": 0.75, "label": "1"}, "urgency": None}
+    listed = [{"qid": "risk", "type": "score", "probabilities": [{"option": "1", "p": 0.75}, {"option": "0", "p": 0.25}], "score": 0.75, "label": "1"}, {"qid": "urgency"}, {"lost": 1}]
+    inside = {"risk": json.dumps(keyed["risk"] | {"probabilities": json.dumps(keyed["risk"]["probabilities"])}), "urgency": None}
+    forms = [json.dumps(keyed), json.dumps(listed), json.dumps(json.dumps(keyed)), json.dumps(json.dumps(json.dumps(listed))), json.dumps(inside)]
+    df = spark.createDataFrame([(str(i), "s", t, t) for i, t in enumerate(forms)], "id string, source string, gold string, questions string")
+    want = sorted(x for i in range(len(forms)) for x in [(str(i), "risk", ["0", "1"], [0.25, 0.75], 0.75, "1"), (str(i), "urgency", None, None, None, None)])
+    assert rows(records.decisions(df), "id", "qid", "keys", "probabilities", "score", "label") == want
+    assert rows(records.question_heads(df), "id", "qid", "type") == [x for i in range(len(forms)) for x in [(str(i), "risk", "score"), (str(i), "urgency", None)]]
+
+
+def test_heads_that_are_dirty():
+    plain = nested.heads_of(json.dumps({"q": {"probabilities": [i / 66 for i in range(12)]}}))[0]
+    assert plain["keys"] == [str(i) for i in range(12)] and plain["probabilities"][11] == 11 / 66
+    assert [nested.heads_of(t) for t in (None, "", "null", '"x"', '{"q": NaN}', '{"q": {}} x', '[{"qid": "q"}')] == [None] * 7
+    deep = '{"q": {"label": "a", "x": ' + "[" * 50_000 + "]" * 50_000 + "}}"
+    assert [(h["qid"], h["label"]) for h in nested.heads_of(deep)] == [("q", "a")]
