@@ -47,6 +47,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return near_dups.near_duplicate_pairs(*_rtl(spark, d))
 
 
+def fault_diff(spark: SparkSession, d: str) -> DataFrame:
+    """Token differences of the near-duplicates of problem 4 whose RTL is not the same."""
+    return near_dups.near_duplicate_edits(*_rtl(spark, d))
+
+
 def p4_groups(spark: SparkSession, d: str) -> DataFrame:
     """(id, group_id, copies, links): each id with RTL, the smallest id of its near-duplicate group, the ids with the same RTL, and the different texts likely to its own."""
     members, links = near_dups.near_duplicates(*_rtl(spark, d))
@@ -107,4 +112,4 @@ def p8_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_splits, p3_incremental, p4_found, p4_groups, p5_found, p5_shares, p5_mix, p6_ids, p6_round_trip, p7_found, p7_leaks, p7_items, p8_found, p8_redacted)}
+    return {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_splits, p3_incremental, p4_found, p4_groups, fault_diff, p5_found, p5_shares, p5_mix, p6_ids, p6_round_trip, p7_found, p7_leaks, p7_items, p8_found, p8_redacted)}

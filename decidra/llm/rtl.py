@@ -61,16 +61,17 @@ def _rtl_in(value: object) -> str | None:
     return None
 
 
-def normalised(text: str) -> str:
-    """Text without comments, in lower case, blanks collapsed: the tokens stay as they are."""
-    return " ".join(K.strip_comments(text).lower().split())
+def normalised(text: str, cased: bool = False) -> str:
+    """Text without comments, in lower case unless cased, blanks collapsed: the tokens stay as they are."""
+    text = K.strip_comments(text)
+    return " ".join((text if cased else text.lower()).split())
 
 
 def set_id(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def _rtl_rows(from_state: bool):
+def _rtl_rows(from_state: bool, cased: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
@@ -80,7 +81,7 @@ def _rtl_rows(from_state: bool):
                     text = rtl_of_state(raw) if from_state else raw
                     if i is not None and text and not text.isspace():
                         ids.append(i)
-                        texts.append(normalised(text))
+                        texts.append(normalised(text, cased))
                 sets = K.shingle_sets(texts, SHINGLE, symbols=True)
                 keep = [j for j, s in enumerate(sets) if len(s)]
                 yield pa.RecordBatch.from_arrays(
@@ -104,13 +105,13 @@ class RtlClasses:
     classes: DataFrame
 
 
-def rtl_rows(records: DataFrame, batches: DataFrame) -> DataFrame:
-    """(id, sid, n, text) of every row with RTL; null ids, null, empty and too short texts yield none."""
+def rtl_rows(records: DataFrame, batches: DataFrame, cased: bool = False) -> DataFrame:
+    """(id, sid, n, text) of every row with RTL, the text in lower case unless cased; null ids, null, empty and too short texts yield none."""
     schema = "id string, sid binary, n int, text string"
     return (
         records.select(F.col("id").cast("string").alias("id"), F.col("state").alias("text"))
-        .mapInArrow(_rtl_rows(True), schema)
-        .unionByName(batches.select(F.col("id").cast("string").alias("id"), F.col("buggy_rtl").alias("text")).mapInArrow(_rtl_rows(False), schema))
+        .mapInArrow(_rtl_rows(True, cased), schema)
+        .unionByName(batches.select(F.col("id").cast("string").alias("id"), F.col("buggy_rtl").alias("text")).mapInArrow(_rtl_rows(False, cased), schema))
     )
 
 

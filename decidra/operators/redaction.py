@@ -11,7 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _COMMENT = re.compile(r"//[^\n]*|/\*.*?\*/", re.S)
-_TOKEN = re.compile(r"[A-Za-z_]\w*|\d+'[a-zA-Z]\w*|\d+|[^\s\w]", re.A)
+TOKEN = r"[A-Za-z_]\w*|\d+'[a-zA-Z]\w*|\d+|[^\s\w]"
+_TOKEN = re.compile(TOKEN, re.A)
 #: Longest token lists that are compared; beyond it only the counts are given.
 MOST_TOKENS = 4000
 

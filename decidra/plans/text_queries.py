@@ -214,15 +214,6 @@ def lineage_families(spark, d):
     return found.select(F.col("node").alias("doc_id"), F.col("root").alias("family"))
 
 
-@C.add()
-def fault_diff(spark, d):
-    """Token difference of an id's shortest and longest delivered RTL."""
-    b = table(spark, d, "batch_06_mux_4_1").filter("id is not null and buggy_rtl is not null")
-    size = F.struct(F.length("buggy_rtl"), F.col("row_no"))
-    o = b.groupBy("id").agg(F.min_by("buggy_rtl", size).alias("a"), F.max_by("buggy_rtl", size).alias("b"), F.count("*").alias("k")).filter("k > 1")
-    return o.select("id", redaction.token_diff(tx.without_comments(F.col("a")), tx.without_comments(F.col("b"))).alias("x")).select("id", "x.*")
-
-
 @C.add()
 def comment_redaction(spark, d):
     """Words of tool-made banners replaced inside comments of the RTL."""

@@ -1,10 +1,13 @@
 """Queries over all of their input, against SQL of their own where the registered SQL covers less."""
 
 import json
+import re
+from collections import Counter
 from pathlib import Path
 
 import pytest
 
+from decidra.llm import near_dups
 from decidra.operators import nested, records
 from decidra.plans import registry
 from decidra.plans.nested_queries import _decoded
@@ -74,3 +77,28 @@ def test_heads_that_are_dirty():
     assert [nested.heads_of(t) for t in (None, "", "null", '"x"', '{"q": NaN}', '{"q": {}} x', '[{"qid": "q"}')] == [None] * 7
     deep = '{"q": {"label": "a", "x": ' + "[" * 50_000 + "]" * 50_000 + "}}"
     assert [(h["qid"], h["label"]) for h in nested.heads_of(deep)] == [("q", "a")]
+
+
+def test_edits_of_all_near_duplicates(spark):
+    base = [f"assign s{i} = a{i} & b{i};" for i in range(40)]
+    other = base[:20] + ["assign s20 = q | r; // note"] + base[21:]
+    texts = {"a": "\n".join(base), "b": "  " + "\n\n".join(base) + " // end", "c": "\n".join(other), "d": "\n".join(base[::-1] + base), "e": "module z; wire w; endmodule"}
+    batches = spark.createDataFrame([(k, t) for k, t in texts.items()], "id string, buggy_rtl string")
+    records = spark.createDataFrame([("f", json.dumps({"buggy_rtl": texts["c"].upper()}))], "id string, state string")
+    words = lambda t: Counter(re.findall(r"\w+|[^\s\w]", re.sub(r"//[^\n]*", "", t)))
+    texts["f"] = texts["c"].upper()
+    got = {(r.id_a, r.id_b): r for r in near_dups.near_duplicate_edits(records, batches).collect()}
+    alike = {tuple(r) for r in near_dups.near_duplicate_pairs(records, batches).collect()}
+    assert {("a", "c"), ("b", "c"), ("c", "f")} <= set(got) == alike - {("a", "b")}
+    for (x, y), r in got.items():
+        assert r.compared and r.n_edits > 0
+        assert words(texts[x]) - words(texts[y]) <= Counter(r.removed.split()) and words(texts[x]) - Counter(r.removed.split()) + Counter(r.added.split()) == words(texts[y])
+    assert (got["a", "c"].removed, got["a", "c"].added) == ("a20 & b20", "q | r")
+
+
+@here
+def test_edits_of_the_tables(spark):
+    import __spark_entry__ as entry
+
+    small = str(TABLES.parent / "sf0.001")
+    assert entry.queries()["fault_diff"](spark, small).filter("n_edits > 0").count() > 0
