@@ -123,8 +123,8 @@ def labelled_streams(**streams: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Words and single other visible characters."""
-    return F.regexp_extract_all(text, F.lit(r"[A-Za-z0-9_]+|[^\sA-Za-z0-9_]"), F.lit(0))
+    """Words of any script and single other visible characters."""
+    return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{M}\p{N}_]+|[^\s\p{Z}\p{L}\p{M}\p{N}_]"), F.lit(0))
 
 
 def patch_lines(patch: Column, sign: str) -> Column:

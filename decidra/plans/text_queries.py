@@ -114,10 +114,10 @@ def verdict_ladder(spark, d):
 SELECT count(*) AS documents, sum(n)::BIGINT AS tokens, round(quantile_cont(n, 0.5), 6) AS p50, round(quantile_cont(n, 0.95), 6) AS p95, max(n) AS longest, count(*) FILTER (WHERE n > 128) AS truncated
 FROM (SELECT len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9_]+|[^\\s\\x0bA-Za-z0-9_]'))::BIGINT AS n FROM documents WHERE lang = 'en')""")
 def token_lengths(spark, d):
-    """Lengths in tokens of the English documents, and how many a limit of 128 would cut."""
+    """Lengths in tokens of all documents, and how many a limit of 128 would cut."""
     n = F.size(tx.tokens(F.coalesce("text", F.lit("")))).cast("long")
     q = F.percentile("n", F.array(F.lit(0.5), F.lit(0.95)))
-    return table(spark, d, "documents").filter("lang = 'en'").select(n.alias("n")).agg(F.count("*").alias("documents"), F.sum("n").alias("tokens"), F.round(q[0], 6).alias("p50"), F.round(q[1], 6).alias("p95"), F.max("n").alias("longest"), F.count_if(F.col("n") > 128).alias("truncated"))
+    return table(spark, d, "documents").select(n.alias("n")).agg(F.count("*").alias("documents"), F.sum("n").alias("tokens"), F.round(q[0], 6).alias("p50"), F.round(q[1], 6).alias("p95"), F.max("n").alias("longest"), F.count_if(F.col("n") > 128).alias("truncated"))
 
 
 @C.add(f"""

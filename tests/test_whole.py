@@ -102,3 +102,10 @@ def test_edits_of_the_tables(spark):
 
     small = str(TABLES.parent / "sf0.001")
     assert entry.queries()["fault_diff"](spark, small).filter("n_edits > 0").count() > 0
+
+
+@here
+def test_token_lengths_of_all_documents(spark):
+    sql = registry.oracle_sql()["token_lengths"].replace(" WHERE lang = 'en'", "").replace("[A-Za-z0-9_]+|[^\\s\\x0bA-Za-z0-9_]", "[\\p{L}\\p{M}\\p{N}_]+|[^\\s\\x0b\\p{Z}\\p{L}\\p{M}\\p{N}_]")
+    assert "lang" not in sql and "p{L}" in sql
+    equal(spark, "token_lengths", sql)
