@@ -186,13 +186,15 @@ l AS (SELECT id, {_STRIPPED.format('text', 8)} AS ls FROM o), x AS (SELECT id, u
 s AS (SELECT a.id AS id_a, b.id AS id_b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared FROM x a JOIN x b ON a.line = b.line AND a.id < b.id GROUP BY 1, 2)
 SELECT id_a, id_b, round(shared / (na + nb - shared)::DOUBLE, 9) AS jaccard FROM s WHERE shared / (na + nb - shared)::DOUBLE >= 0.4 AND NOT (na = nb AND shared = na)""")
 def jaccard_pairs(spark, d):
-    """Ids whose designs have like, but not equal, sets of lines."""
+    """Ids whose designs have like or equal sets of lines."""
     first = table(spark, d, "batch_06_mux_4_1").filter("id is not null and buggy_rtl is not null").groupBy("id").agg(F.min_by("buggy_rtl", "row_no").alias("text"))
     sets = scratch(lineage.line_sets(first, "id", tx.stripped_lines(F.col("text"), 8)), "line-sets")
     near = lineage.similar_classes(sets, 0.4)
     a, b = (sets.select(F.col("cls").alias(f"cls_{x}"), F.col("id").alias(f"id_{x}")) for x in "ab")
     pairs = near.join(a, "cls_a").join(b, "cls_b")
-    return pairs.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), F.round("jaccard", 9).alias("jaccard"))
+    unlike = pairs.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), F.round("jaccard", 9).alias("jaccard"))
+    copies = a.join(b.withColumnRenamed("cls_b", "cls_a"), "cls_a").filter("id_a < id_b").select("id_a", "id_b", F.lit(1.0).alias("jaccard"))
+    return unlike.unionByName(copies)
 
 
 @C.add(f"""

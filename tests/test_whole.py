@@ -109,3 +109,11 @@ def test_token_lengths_of_all_documents(spark):
     sql = registry.oracle_sql()["token_lengths"].replace(" WHERE lang = 'en'", "").replace("[A-Za-z0-9_]+|[^\\s\\x0bA-Za-z0-9_]", "[\\p{L}\\p{M}\\p{N}_]+|[^\\s\\x0b\\p{Z}\\p{L}\\p{M}\\p{N}_]")
     assert "lang" not in sql and "p{L}" in sql
     equal(spark, "token_lengths", sql)
+
+
+@here
+def test_pairs_of_equal_line_sets(spark):
+    sql = registry.oracle_sql()["jaccard_pairs"]
+    whole = sql.replace(" AND NOT (na = nb AND shared = na)", "")
+    assert whole != sql
+    equal(spark, "jaccard_pairs", whole)
