@@ -141,12 +141,12 @@ SELECT batch_index, array_to_string(list_slice(list_sort(list_distinct(list(id))
 FROM batch_06_mux_4_1 WHERE id IS NOT NULL AND project IS NOT NULL GROUP BY batch_index""")
 def batch_report(spark, d):
     """Batches with their first five ids, sizes and last project."""
-    b = table(spark, d, "batch_06_mux_4_1").filter("id is not null and project is not null")
+    b = table(spark, d, "batch_06_mux_4_1").filter("id is not null")
     # the first five are found without a list of all: rank within the batch after a distinct
     ids = b.select("batch_index", "id").distinct().withColumn("r", F.row_number().over(Window.partitionBy("batch_index").orderBy("id"))).filter("r <= 5")
     five = ids.groupBy("batch_index").agg(F.array_join(F.array_sort(F.collect_list("id")), ",").alias("sample"))
-    sums = b.groupBy("batch_index").agg(F.count("*").alias("n"), F.sum(F.coalesce(F.length("buggy_rtl"), F.lit(0))).alias("bytes"), F.max_by("project", "row_no").alias("last_project"))
-    return sums.join(five, "batch_index").select("batch_index", "sample", "n", "bytes", "last_project")
+    sums = b.groupBy("batch_index").agg(F.count("*").alias("n"), F.sum(F.coalesce(F.length("buggy_rtl"), F.lit(0))).alias("bytes"), F.max_by("project", F.when(F.col("project").isNotNull(), F.col("row_no"))).alias("last_project"))
+    return sums.join(five.withColumnRenamed("batch_index", "of"), F.col("batch_index").eqNullSafe(F.col("of"))).select("batch_index", "sample", "n", "bytes", "last_project")
 
 
 @C.add("SELECT user_id, event_type, count(*) AS n, round(sum(value), 4) AS value FROM (SELECT DISTINCT event_id, user_id, event_type, value FROM events) GROUP BY user_id, event_type")

@@ -238,12 +238,11 @@ def group_default_join(spark, d):
 WITH f AS (SELECT id, arg_min(source, row(ingested_at, source)) AS a, arg_max(source, row(ingested_at, source)) AS b, min(provenance.split) AS sa, max(provenance.split) AS sb FROM veribugbench_5q WHERE id IS NOT NULL AND source IS NOT NULL AND ingested_at IS NOT NULL GROUP BY id)
 (SELECT id, 'source' AS field FROM f WHERE a IS DISTINCT FROM b) UNION ALL (SELECT id, 'split' AS field FROM f WHERE sa IS DISTINCT FROM sb)""")
 def field_immutability(spark, d):
-    """Fields that differ between the deliveries of one id."""
-    v = table(spark, d, "veribugbench_5q").filter("id is not null and source is not null and ingested_at is not null")
-    order = F.struct("ingested_at", "source")
-    one = v.groupBy("id").agg(F.min_by("source", order).alias("source"), F.min("provenance.split").alias("split"))
-    two = v.groupBy("id").agg(F.max_by("source", order).alias("source"), F.max("provenance.split").alias("split"))
-    return R.changed_fields(one, two, "id", ["source", "split"])
+    """Fields that differ between any deliveries of one id, null a value of its own."""
+    v = table(spark, d, "veribugbench_5q").filter("id is not null").select("id", "source", F.col("provenance.split").alias("split"))
+    changed = lambda c: F.when(F.min(c).isNotNull() & ((F.min(c) != F.max(c)) | (F.count(c) < F.count("*"))), F.lit(c))
+    fields = v.groupBy("id").agg(F.array_compact(F.array(changed("source"), changed("split"))).alias("fields"))
+    return fields.select("id", F.explode("fields").alias("field"))
 
 
 @C.add("""

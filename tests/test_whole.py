@@ -117,3 +117,24 @@ def test_pairs_of_equal_line_sets(spark):
     whole = sql.replace(" AND NOT (na = nb AND shared = na)", "")
     assert whole != sql
     equal(spark, "jaccard_pairs", whole)
+
+
+@here
+def test_batches_of_all_rows(spark):
+    sql = registry.oracle_sql()["batch_report"]
+    whole = sql.replace(" AND project IS NOT NULL", "")
+    assert whole != sql
+    equal(spark, "batch_report", whole)
+
+
+@here
+def test_fields_of_all_deliveries(spark):
+    changed = "SELECT id, '{0}' AS field FROM (SELECT id, source, provenance.split AS split FROM veribugbench_5q WHERE id IS NOT NULL) GROUP BY id HAVING count(DISTINCT {0}) + max(({0} IS NULL)::INT) > 1"
+    equal(spark, "field_immutability", changed.format("source") + " UNION ALL " + changed.format("split"))
+
+
+def test_fields_that_change_and_return(spark, tmp_path, rows):
+    one = lambda i, source, split, day: (i, source, (split,), f"2025-01-0{day}")
+    data = [one("a", "A", "train", 1), one("a", "B", "train", 2), one("a", "A", "train", 3), one("b", None, "test", 1), one("b", "A", "test", 2), one("c", "A", None, 1), one("c", "A", "test", 2), one("d", None, None, 1), one("d", None, None, 2)]
+    spark.createDataFrame(data, "id string, source string, provenance struct<split: string>, ingested_at string").write.parquet(f"{tmp_path}/veribugbench_5q.parquet")
+    assert rows(registry.queries()["field_immutability"](spark, str(tmp_path))) == [("a", "source"), ("b", "source"), ("c", "split")]
