@@ -9,26 +9,27 @@ from pyspark.sql import functions as F
 
 from decidra.functions import dist
 from decidra.functions import text as tx
+from decidra.operators import nested
 from decidra.operators import records as R
 
 
 def contract_errors(records: DataFrame, types: dict[str, str] = R.QUESTION_TYPES, tolerance: float = 1e-3) -> DataFrame:
-    """(id, error) of each way a record breaks the question contract; records whose JSON is no object have 'questions' or 'gold'."""
-    asked, gold = F.from_json("questions", R.QUESTION_SCHEMA), F.from_json("gold", R.GOLD_SCHEMA)
+    """(id, error) of each way a record breaks the question contract, whichever form its JSON has; records whose questions or gold are neither keyed nor listed have 'questions' or 'gold'."""
     want = F.array(*map(F.lit, sorted(types)))
-    rows = records.select("id", asked.alias("q"), gold.alias("g"), F.col("state").isNotNull().alias("stated"))
-    same_keys = lambda m: F.array_sort(F.map_keys(m)) == want
-    wrong_type = [F.when(F.map_contains_key("q", F.lit(k)) & ~F.coalesce(F.try_element_at("q", F.lit(k))["type"] == t, F.lit(False)), F.lit(f"{k}: type")) for k, t in sorted(types.items())]
-    bad_sum = [F.when(F.abs(dist.total(F.map_values(F.try_element_at("g", F.lit(k))["probabilities"])) - 1) > tolerance, F.lit(f"{k}: sum")) for k in sorted(types)]
-    errors = F.array_compact(F.array(
+    rows = records.select("id", nested.heads(F.col("questions")).alias("q"), nested.heads(F.col("gold")).alias("g"), F.col("state").isNotNull().alias("stated"))
+    same_keys = lambda m: F.array_sort(F.array_distinct(F.transform(m, lambda h: h["qid"]))) == want
+    of_type = F.create_map(*[F.lit(x) for kv in sorted(types.items()) for x in kv])
+    ill_typed = lambda h: F.when(~F.coalesce(h["type"] == F.try_element_at(of_type, h["qid"]), h["type"].isNotNull() & F.try_element_at(of_type, h["qid"]).isNull()), F.concat(h["qid"], F.lit(": type")))
+    ill_summed = lambda h: F.when(F.abs(dist.total(h["probabilities"]) - 1) > tolerance, F.concat(h["qid"], F.lit(": sum")))
+    whole = F.array_compact(F.array(
         F.when(F.col("id").isNull(), F.lit("id")),
         F.when(~F.col("stated"), F.lit("state")),
         F.when(F.col("q").isNull(), F.lit("questions")).when(~same_keys(F.col("q")), F.lit("question keys")),
         F.when(F.col("g").isNull(), F.lit("gold")).when(~same_keys(F.col("g")), F.lit("gold keys")),
-        *wrong_type,
-        *bad_sum,
     ))
-    return rows.select("id", F.explode(errors).alias("error"))
+    known = lambda m: F.filter(F.coalesce(m, F.array().cast(rows.schema["g"].dataType)), lambda h: h["qid"].isin(*sorted(types)))
+    by_head = F.array_compact(F.concat(F.transform(known(F.col("q")), ill_typed), F.transform(known(F.col("g")), ill_summed)))
+    return rows.select("id", F.explode(F.concat(whole, by_head)).alias("error"))
 
 
 def flags(conditions: dict[str, Column]) -> Column:

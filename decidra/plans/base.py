@@ -28,3 +28,11 @@ class Catalogue:
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def decoded_sql(column: str) -> str:
+    """SQL of a JSON column with re-encoding undone; null where the text is not valid JSON as a whole."""
+    out = column
+    for _ in range(3):
+        out = f"(CASE WHEN {out} IS NULL OR NOT json_valid({out}) THEN NULL WHEN json_type({out}) = 'VARCHAR' THEN {out} ->> '$' ELSE {out} END)"
+    return f"(CASE WHEN json_valid({out}) THEN {out} END)"

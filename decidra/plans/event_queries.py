@@ -138,7 +138,7 @@ def coverage_ratio(spark, d):
 
 @C.add("""
 SELECT batch_index, array_to_string(list_slice(list_sort(list_distinct(list(id))), 1, 5), ',') AS sample, count(*) AS n, sum(coalesce(length(buggy_rtl), 0))::BIGINT AS bytes, arg_max(project, row_no) AS last_project
-FROM batch_06_mux_4_1 WHERE id IS NOT NULL AND project IS NOT NULL GROUP BY batch_index""")
+FROM batch_06_mux_4_1 WHERE id IS NOT NULL GROUP BY batch_index""")
 def batch_report(spark, d):
     """Batches with their first five ids, sizes and last project."""
     b = table(spark, d, "batch_06_mux_4_1").filter("id is not null")

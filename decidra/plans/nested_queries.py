@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from decidra.operators import nested
+from decidra.plans.base import decoded_sql
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
@@ -35,16 +36,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def _decoded(column: str) -> str:
-    out = column
-    for _ in range(3):
-        out = f"(CASE WHEN {out} IS NULL OR NOT json_valid({out}) THEN NULL WHEN json_type({out}) = 'VARCHAR' THEN {out} ->> '$' ELSE {out} END)"
-    return f"(CASE WHEN json_valid({out}) THEN {out} END)"
-
-
 #: The child rows of decision records.
 CHILDREN_SQL = f"""
-WITH d AS (SELECT id, {_decoded("questions")} AS q, {_decoded("gold")} AS g, provenance FROM veribugbench_5q WHERE id IS NOT NULL),
+WITH d AS (SELECT id, {decoded_sql("questions")} AS q, {decoded_sql("gold")} AS g, provenance FROM veribugbench_5q WHERE id IS NOT NULL),
 qs AS (SELECT d.id AS id, CASE WHEN json_type(q) = 'OBJECT' THEN e.key ELSE e.value ->> '$.qid' END AS qid, e.value -> '$.criteria' AS c FROM d, json_each(CASE WHEN json_type(q) IN ('OBJECT', 'ARRAY') THEN q END) e),
 cs AS (SELECT qs.id AS id, qid, CASE WHEN json_type(c) = 'OBJECT' THEN e.key WHEN json_type(e.value) = 'OBJECT' THEN e.value ->> '$.key' ELSE e.key END AS k FROM qs, json_each(CASE WHEN json_type(c) IN ('OBJECT', 'ARRAY') THEN c END) e),
 gs AS (SELECT d.id AS id, CASE WHEN json_type(g) = 'OBJECT' THEN e.key ELSE e.value ->> '$.qid' END AS qid, e.value -> '$.probabilities' AS c FROM d, json_each(CASE WHEN json_type(g) IN ('OBJECT', 'ARRAY') THEN g END) e),

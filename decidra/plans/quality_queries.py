@@ -9,7 +9,7 @@ from decidra.functions import dist
 from decidra.functions import text as tx
 from decidra.operators import excerpts, quality
 from decidra.operators import records as R
-from decidra.plans.base import Catalogue, table
+from decidra.plans.base import Catalogue, decoded_sql, table
 from decidra.plans.decision_queries import _PROBS
 from decidra.plans.split_queries import HEADS_SQL
 
@@ -18,12 +18,22 @@ _SPLIT = "lower(regexp_replace(provenance.split, '^\\s+|\\s+$', '', 'g'))"
 _FIVE = "['evidence_sufficient', 'next_action', 'risk', 'root_cause_type', 'urgency']"
 
 
+_JSON_TREE = "CASE WHEN json_type({0}) IN ('OBJECT', 'ARRAY') THEN {0} END"
+_KEYED = "SELECT r.n AS n, CASE WHEN json_type({0}) = 'OBJECT' THEN e.key ELSE e.value ->> '$.qid' END AS qid, e.value AS v FROM r, json_each({0}) e"
+_PROB_SUM = "(SELECT coalesce(sum(CASE WHEN json_type(p.value) = 'OBJECT' THEN (p.value ->> '$.p')::DOUBLE ELSE (p.value ->> '$')::DOUBLE END), 0) FROM json_each(CASE WHEN json_type(v -> '$.probabilities') IN ('OBJECT', 'ARRAY') THEN v -> '$.probabilities' END) p)"
+
+
 @C.add(f"""
-WITH r AS (SELECT id, state, CASE WHEN json_valid(questions) AND json_type(questions) = 'OBJECT' THEN questions END AS q, CASE WHEN json_valid(gold) AND json_type(gold) = 'OBJECT' THEN gold END AS g FROM veribugbench_5q),
+WITH d AS (SELECT row_number() OVER () AS n, id, state, {decoded_sql("questions")} AS q0, {decoded_sql("gold")} AS g0 FROM veribugbench_5q),
+r AS (SELECT n, id, state, {_JSON_TREE.format("q0")} AS q, {_JSON_TREE.format("g0")} AS g FROM d),
+qs AS ({_KEYED.format("q")}), gs AS ({_KEYED.format("g")}),
+qk AS (SELECT n, list_sort(list_distinct(list(qid))) AS ks FROM qs WHERE qid IS NOT NULL GROUP BY n), gk AS (SELECT n, list_sort(list_distinct(list(qid))) AS ks FROM gs WHERE qid IS NOT NULL GROUP BY n),
+types AS (SELECT * FROM (VALUES {", ".join(f"('{k}', '{t}')" for k, t in sorted(R.QUESTION_TYPES.items()))}) t(qid, kind)),
 e AS (SELECT CASE WHEN id IS NULL THEN 'id' END AS e FROM r UNION ALL SELECT CASE WHEN state IS NULL THEN 'state' END FROM r
-  UNION ALL SELECT CASE WHEN q IS NULL THEN 'questions' WHEN list_sort(json_keys(q)) <> {_FIVE} THEN 'question keys' END FROM r
-  UNION ALL SELECT CASE WHEN g IS NULL THEN 'gold' WHEN list_sort(json_keys(g)) <> {_FIVE} THEN 'gold keys' END FROM r
-  """ + " ".join(f"UNION ALL SELECT CASE WHEN list_contains(json_keys(q), '{k}') AND coalesce(q ->> '$.{k}.type', '') <> '{t}' THEN '{k}: type' END FROM r" for k, t in sorted(R.QUESTION_TYPES.items())) + " " + " ".join(f"UNION ALL SELECT CASE WHEN json_type(g -> '$.{k}.probabilities') = 'OBJECT' AND abs(coalesce(list_sum(list_transform(json_keys(g -> '$.{k}.probabilities'), lambda x: (g ->> ('$.{k}.probabilities.\"' || x || '\"'))::DOUBLE)), 0) - 1) > 0.001 THEN '{k}: sum' END FROM r" for k in sorted(R.QUESTION_TYPES)) + """)
+  UNION ALL SELECT CASE WHEN q IS NULL THEN 'questions' WHEN coalesce(ks, []) <> {_FIVE} THEN 'question keys' END FROM r LEFT JOIN qk USING (n)
+  UNION ALL SELECT CASE WHEN g IS NULL THEN 'gold' WHEN coalesce(ks, []) <> {_FIVE} THEN 'gold keys' END FROM r LEFT JOIN gk USING (n)
+  UNION ALL SELECT qid || ': type' FROM qs JOIN types USING (qid) WHERE (v ->> '$.type') IS DISTINCT FROM kind
+  UNION ALL SELECT qid || ': sum' FROM gs JOIN types USING (qid) WHERE json_type(v -> '$.probabilities') IN ('OBJECT', 'ARRAY') AND abs({_PROB_SUM} - 1) > 0.001)
 SELECT e AS error, count(*) AS n FROM e WHERE e IS NOT NULL GROUP BY e""")
 def contract_errors(spark, d):
     """Records by how they break the question contract."""

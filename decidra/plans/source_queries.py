@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from decidra.functions import hashing
-from decidra.operators import records as R
-from decidra.plans.base import Catalogue, table
+from decidra.operators import nested
+from decidra.plans.base import Catalogue, decoded_sql, table
 from decidra.session import shared_dir
 from decidra.sources import adapters, readers, sinks
 
@@ -69,13 +69,14 @@ def partitioned_sink(spark, d):
     return spark.read.parquet(path).groupBy("split").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
 
 
-@C.add("""
+@C.add(f"""
 SELECT error, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN id IS NULL THEN 'no id' END, CASE WHEN state IS NULL OR trim(state) = '' THEN 'no state' END,
-  CASE WHEN questions IS NULL OR NOT json_valid(questions) OR json_type(questions) <> 'OBJECT' THEN 'questions' END, CASE WHEN gold IS NULL OR NOT json_valid(gold) OR json_type(gold) <> 'OBJECT' THEN 'gold' END], lambda x: x IS NOT NULL)) AS error FROM veribugbench_5q) GROUP BY error""")
+  CASE WHEN q IS NULL OR json_type(q) NOT IN ('OBJECT', 'ARRAY') THEN 'questions' END, CASE WHEN g IS NULL OR json_type(g) NOT IN ('OBJECT', 'ARRAY') THEN 'gold' END], lambda x: x IS NOT NULL)) AS error
+  FROM (SELECT id, state, {decoded_sql("questions")} AS q, {decoded_sql("gold")} AS g FROM veribugbench_5q)) GROUP BY error""")
 def record_validation(spark, d):
-    """Rejected records by error."""
+    """Rejected records by error; questions and gold may be keyed or listed, plain or re-encoded."""
     v = table(spark, d, "veribugbench_5q")
-    errors = F.array_compact(F.array(F.when(F.col("id").isNull(), F.lit("no id")), F.when(F.col("state").isNull() | (F.trim("state") == ""), F.lit("no state")), F.when(F.from_json("questions", R.QUESTION_SCHEMA).isNull(), F.lit("questions")), F.when(F.from_json("gold", R.GOLD_SCHEMA).isNull(), F.lit("gold"))))
+    errors = F.array_compact(F.array(F.when(F.col("id").isNull(), F.lit("no id")), F.when(F.col("state").isNull() | (F.trim("state") == ""), F.lit("no state")), F.when(nested.heads(F.col("questions")).isNull(), F.lit("questions")), F.when(nested.heads(F.col("gold")).isNull(), F.lit("gold"))))
     _, rejected = sinks.split_rejects(v.select("id", "state", "questions", "gold"), errors)
     return rejected.select(F.explode("errors").alias("error")).groupBy("error").agg(F.count("*").alias("n"))
 

@@ -9,7 +9,7 @@ from decidra.functions import hashing
 from decidra.operators import nested
 from decidra.operators import records as R
 from decidra.operators import windows
-from decidra.plans.base import Catalogue, table
+from decidra.plans.base import Catalogue, decoded_sql, table
 
 C = Catalogue()
 SEED = 42
@@ -21,12 +21,14 @@ _STABLE = f"""CASE WHEN {{g}} IS NULL THEN NULL
 _CALIBRATION = f"CASE WHEN {_HEAD.format("sha256('calibration:42:' || {g})")} % 2 = 1 THEN 'calibration' ELSE 'validation' END"
 _ID_HASH = " || ".join(f"printf('%08x', (sum(('0x' || substr(sha256({{i}}::VARCHAR), {8 * i + 1}, 8))::BIGINT) % 4294967296)::BIGINT)" for i in range(8)).replace("{i}", "{x}")
 _WEIGHTS = "(CASE label_source " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in R.LABEL_WEIGHTS.items()) + f" ELSE {R.UNKNOWN_WEIGHT} END)::DOUBLE"
-#: A row per record and head of the gold fields that are JSON objects.
-HEADS_SQL = """
-heads AS (
-  SELECT r.id AS id, r.source AS source, h.key AS qid, h.value ->> '$.label_source' AS label_source, h.value -> '$.probabilities' AS probs,
-         (h.value ->> '$.score')::DOUBLE AS score, h.value ->> '$.label' AS label, (h.value ->> '$.confidence')::DOUBLE AS confidence
-  FROM (SELECT * FROM veribugbench_5q WHERE json_valid(gold) AND json_type(gold) = 'OBJECT') r, json_each(r.gold) h)"""
+#: A row per record and head of gold, keyed or listed, plain or re-encoded; probabilities that are lists of options become objects.
+HEADS_SQL = f"""
+d AS (SELECT id, source, {decoded_sql("gold")} AS g FROM veribugbench_5q),
+hs AS (SELECT d.id AS id, d.source AS source, CASE WHEN json_type(g) = 'OBJECT' THEN e.key ELSE e.value ->> '$.qid' END AS qid, e.value AS value, e.value -> '$.probabilities' AS c
+  FROM d, json_each(CASE WHEN json_type(g) IN ('OBJECT', 'ARRAY') THEN g END) e),
+heads AS (SELECT id, source, qid, value ->> '$.label_source' AS label_source,
+  CASE WHEN json_type(c) = 'ARRAY' THEN (SELECT json_group_object(e.value ->> '$.option', (e.value ->> '$.p')::DOUBLE) FROM json_each(CASE WHEN json_type(c) = 'ARRAY' THEN c END) e WHERE e.value ->> '$.option' IS NOT NULL) ELSE c END AS probs,
+  (value ->> '$.score')::DOUBLE AS score, value ->> '$.label' AS label, (value ->> '$.confidence')::DOUBLE AS confidence FROM hs WHERE qid IS NOT NULL)"""
 
 
 @C.add(f"""
@@ -139,13 +141,12 @@ def flag_counts(spark, d):
     return table(spark, d, "veribugbench_5q").select("source", F.explode("provenance.trust_flags").alias("flag")).filter("flag is not null").groupBy("source", "flag").agg(F.count("*").alias("n"))
 
 
-@C.add("""
-WITH q AS (SELECT id, source, k AS qid, gold FROM (SELECT id, source, gold, unnest(json_keys(questions)) AS k FROM veribugbench_5q WHERE json_valid(questions) AND json_type(questions) = 'OBJECT')),
-s AS (SELECT source, qid, CASE
-    WHEN gold IS NULL OR NOT json_valid(gold) OR json_type(gold) <> 'OBJECT' THEN 'no gold'
-    WHEN NOT list_contains(json_keys(gold), qid) THEN 'no head'
-    WHEN json_type(json_extract(gold, '$."' || qid || '".probabilities')) IS DISTINCT FROM 'OBJECT' THEN 'no probabilities' ELSE 'kept' END AS reason FROM q)
-SELECT source, qid, reason, count(*) AS n FROM s GROUP BY source, qid, reason""")
+@C.add(f"""
+WITH d AS (SELECT source, {decoded_sql("questions")} AS q, {decoded_sql("gold")} AS g FROM veribugbench_5q),
+qs AS (SELECT source, g, CASE WHEN json_type(q) = 'OBJECT' THEN e.key ELSE e.value ->> '$.qid' END AS qid FROM d, json_each(CASE WHEN json_type(q) IN ('OBJECT', 'ARRAY') THEN q END) e),
+s AS (SELECT source, qid, g, (SELECT max(CASE WHEN json_type(h.value -> '$.probabilities') IN ('OBJECT', 'ARRAY') THEN 2 ELSE 1 END) FROM json_each(CASE WHEN json_type(g) IN ('OBJECT', 'ARRAY') THEN g END) h
+  WHERE CASE WHEN json_type(g) = 'OBJECT' THEN h.key ELSE h.value ->> '$.qid' END = qid) AS found FROM qs WHERE qid IS NOT NULL)
+SELECT source, qid, CASE WHEN g IS NULL OR json_type(g) NOT IN ('OBJECT', 'ARRAY') THEN 'no gold' WHEN found IS NULL THEN 'no head' WHEN found = 1 THEN 'no probabilities' ELSE 'kept' END AS reason, count(*) AS n FROM s GROUP BY ALL""")
 def skip_ledger(spark, d):
     """Questions by why they have no usable gold head."""
     v = table(spark, d, "veribugbench_5q").select("source", "questions", nested.heads(F.col("gold")).alias("g"))
@@ -234,9 +235,10 @@ def group_default_join(spark, d):
     return v.join(p, "project_id", "left").select("id", "source", F.coalesce("source_group", "id").alias("lineage"), "maintainer")
 
 
-@C.add("""
-WITH f AS (SELECT id, arg_min(source, row(ingested_at, source)) AS a, arg_max(source, row(ingested_at, source)) AS b, min(provenance.split) AS sa, max(provenance.split) AS sb FROM veribugbench_5q WHERE id IS NOT NULL AND source IS NOT NULL AND ingested_at IS NOT NULL GROUP BY id)
-(SELECT id, 'source' AS field FROM f WHERE a IS DISTINCT FROM b) UNION ALL (SELECT id, 'split' AS field FROM f WHERE sa IS DISTINCT FROM sb)""")
+_CHANGED = "SELECT id, '{0}' AS field FROM (SELECT id, source, provenance.split AS split FROM veribugbench_5q WHERE id IS NOT NULL) GROUP BY id HAVING count(DISTINCT {0}) + max(({0} IS NULL)::INT) > 1"
+
+
+@C.add(_CHANGED.format("source") + " UNION ALL " + _CHANGED.format("split"))
 def field_immutability(spark, d):
     """Fields that differ between any deliveries of one id, null a value of its own."""
     v = table(spark, d, "veribugbench_5q").filter("id is not null").select("id", "source", F.col("provenance.split").alias("split"))

@@ -112,7 +112,7 @@ def verdict_ladder(spark, d):
 
 @C.add("""
 SELECT count(*) AS documents, sum(n)::BIGINT AS tokens, round(quantile_cont(n, 0.5), 6) AS p50, round(quantile_cont(n, 0.95), 6) AS p95, max(n) AS longest, count(*) FILTER (WHERE n > 128) AS truncated
-FROM (SELECT len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9_]+|[^\\s\\x0bA-Za-z0-9_]'))::BIGINT AS n FROM documents WHERE lang = 'en')""")
+FROM (SELECT len(regexp_extract_all(coalesce(text, ''), '[\\p{L}\\p{M}\\p{N}_]+|[^\\s\\x0b\\p{Z}\\p{L}\\p{M}\\p{N}_]'))::BIGINT AS n FROM documents)""")
 def token_lengths(spark, d):
     """Lengths in tokens of all documents, and how many a limit of 128 would cut."""
     n = F.size(tx.tokens(F.coalesce("text", F.lit("")))).cast("long")
@@ -184,7 +184,7 @@ x AS (SELECT doc_id, unnest(ls) AS line, len(ls) AS n FROM l)"""
 WITH o AS (SELECT id, arg_min(buggy_rtl, row_no) AS text FROM batch_06_mux_4_1 WHERE id IS NOT NULL AND buggy_rtl IS NOT NULL GROUP BY id),
 l AS (SELECT id, {_STRIPPED.format('text', 8)} AS ls FROM o), x AS (SELECT id, unnest(ls) AS line, len(ls) AS n FROM l),
 s AS (SELECT a.id AS id_a, b.id AS id_b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared FROM x a JOIN x b ON a.line = b.line AND a.id < b.id GROUP BY 1, 2)
-SELECT id_a, id_b, round(shared / (na + nb - shared)::DOUBLE, 9) AS jaccard FROM s WHERE shared / (na + nb - shared)::DOUBLE >= 0.4 AND NOT (na = nb AND shared = na)""")
+SELECT id_a, id_b, round(shared / (na + nb - shared)::DOUBLE, 9) AS jaccard FROM s WHERE shared / (na + nb - shared)::DOUBLE >= 0.4""")
 def jaccard_pairs(spark, d):
     """Ids whose designs have like or equal sets of lines."""
     first = table(spark, d, "batch_06_mux_4_1").filter("id is not null and buggy_rtl is not null").groupBy("id").agg(F.min_by("buggy_rtl", "row_no").alias("text"))

@@ -26,7 +26,7 @@ def test_contract_errors(spark, rows):
         ("keys", "s", head({"risk": "score"}), "{}"),
     ]
     got = rows(quality.contract_errors(spark.createDataFrame(data, "id string, state string, questions string, gold string")))
-    assert got == [("keys", "gold keys"), ("keys", "question keys"), ("sum", "risk: sum"), ("sum", "risk: type"), (None, "gold"), (None, "id"), (None, "questions"), (None, "state")]
+    assert got == [("keys", "gold keys"), ("keys", "question keys"), ("sum", "risk: sum"), ("sum", "risk: type"), (None, "gold"), (None, "id"), (None, "question keys"), (None, "state")]
 
 
 def test_ladders_flags_and_maps(spark):
