@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from decidra.session import scratch
 
 
-def line_sets(df: DataFrame, key: str, lines: Column) -> DataFrame:
-    """(key, cls, n, line): distinct line hashes; cls is equal for equal sets. Null texts and texts without lines give none."""
+def line_sets(df: DataFrame, key: str, lines: Column, *carry: str) -> DataFrame:
+    """(key, carried columns, cls, n, ls): distinct line hashes; cls is equal for equal sets. Null texts and texts without lines give none."""
     hashed = F.array_sort(F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x))))
-    rows = df.select(key, hashed.alias("ls")).filter(F.size("ls") > 0)
-    return rows.select(key, F.sha2(F.array_join(F.transform("ls", lambda x: x.cast("string")), ","), 256).alias("cls"), F.size("ls").alias("n"), "ls")
+    rows = df.select(key, *carry, hashed.alias("ls")).filter(F.size("ls") > 0)
+    return rows.select(key, *carry, F.sha2(F.array_join(F.transform("ls", lambda x: x.cast("string")), ","), 256).alias("cls"), F.size("ls").alias("n"), "ls")
 
 
 def similar_classes(sets: DataFrame, least: float) -> DataFrame:

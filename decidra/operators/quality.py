@@ -92,3 +92,9 @@ def filled_levels(df: DataFrame, by: str, level: Column, levels: Sequence[str])
     """(by, level, n): counts with a row for every level, 0 where none."""
     counts = df.groupBy(by).agg(*[F.count_if(level == x).alias(x) for x in levels])
     return counts.select(by, F.explode(F.array(*[F.struct(F.lit(x).alias("level"), F.col(x).alias("n")) for x in levels])).alias("x")).select(by, "x.level", "x.n")
+
+
+def redacted_labels(labels: Column, pattern: str) -> tuple[Column, Column]:
+    """(kept, dropped): the sorted distinct labels in which a pattern, case ignored, does not and does occur; null labels are in neither."""
+    told = lambda x: x.rlike("(?i)" + pattern)
+    return F.array_sort(F.array_distinct(F.filter(labels, lambda x: ~told(x)))), F.array_sort(F.array_distinct(F.filter(labels, told)))

@@ -11,10 +11,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _COMMENT = re.compile(r"//[^\n]*|/\*.*?\*/", re.S)
-TOKEN = r"[A-Za-z_]\w*|\d+'[a-zA-Z]\w*|\d+|[^\s\w]"
+#: What counts as a token of RTL, and hunks that only move a port's direction.
+TOKEN = r"[A-Za-z_]\w*|\d+'[bhd][0-9a-fA-FxXzZ_]+|\d+|[^\s\w]"
+PORT_ONLY = r"[;,]?\s*(?:output|input|inout)"
 _TOKEN = re.compile(TOKEN, re.A)
-#: Longest token lists that are compared; beyond it only the counts are given.
-MOST_TOKENS = 4000
+_PORT = re.compile(PORT_ONLY)
 
 
 def comment_redactor(names: list[str], placeholder: str = "[redacted]"):
@@ -38,20 +39,36 @@ def comment_redactor(names: list[str], placeholder: str = "[redacted]"):
     return redact
 
 
+def edit_hunks(p: list[str], q: list[str]) -> list[tuple[str, str]]:
+    """(removed, added) of each place where two token lists differ; what they begin and end with alike is set aside first, so lists of any length are compared."""
+    head = 0
+    while head < min(len(p), len(q)) and p[head] == q[head]:
+        head += 1
+    tail = 0
+    while tail < min(len(p), len(q)) - head and p[-1 - tail] == q[-1 - tail]:
+        tail += 1
+    a, b = p[head : len(p) - tail], q[head : len(q) - tail]
+    if not a or not b:
+        return [(" ".join(a), " ".join(b))] if a or b else []
+    return [(" ".join(a[i:j]), " ".join(b[k:n])) for kind, i, j, k, n in difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes() if kind != "equal"]
+
+
 def token_diff(a: Column, b: Column) -> Column:
-    """Struct (compared, n_edits, removed, added) of the token difference of two texts; null texts as ''; longer ones than MOST_TOKENS tokens aren't compared."""
+    """Struct (n_edits, formatting, localised, removed, added) of the token difference of two texts; null texts as ''.
+
+    Hunks that only move a port's direction count as formatting and are left out
+    of the rest; a difference is localised if one other hunk remains.  Removed and
+    added have the tokens of the remaining hunks.
+    """
 
-    @F.pandas_udf("compared boolean, n_edits int, removed string, added string")
+    @F.pandas_udf("n_edits int, formatting int, localised boolean, removed string, added string")
     def diff(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for left, right in batches:
             rows = []
             for x, y in zip(left, right):
-                p, q = _TOKEN.findall(x or ""), _TOKEN.findall(y or "")
-                if max(len(p), len(q)) > MOST_TOKENS:
-                    rows.append((False, None, None, None))
-                    continue
-                ops = [o for o in difflib.SequenceMatcher(None, p, q, autojunk=False).get_opcodes() if o[0] != "equal"]
-                rows.append((True, len(ops), " ".join(t for o in ops for t in p[o[1] : o[2]]), " ".join(t for o in ops for t in q[o[3] : o[4]])))
-            yield pd.DataFrame(rows, columns=["compared", "n_edits", "removed", "added"]).astype({"n_edits": "Int32"})
+                hunks = edit_hunks(_TOKEN.findall(x or ""), _TOKEN.findall(y or ""))
+                real = [h for h in hunks if not any(_PORT.fullmatch(side) for side in h)]
+                rows.append((len(real), len(hunks) - len(real), len(real) == 1, " ".join(r for r, _ in real if r), " ".join(x for _, x in real if x)))
+            yield pd.DataFrame(rows, columns=["n_edits", "formatting", "localised", "removed", "added"])
 
     return diff(a, b)

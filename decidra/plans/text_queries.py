@@ -216,6 +216,22 @@ def lineage_families(spark, d):
     return found.select(F.col("node").alias("doc_id"), F.col("root").alias("family"))
 
 
+@C.add()
+def fault_diff(spark, d):
+    """Token differences of designs whose sets of lines are alike to 0.7 or more, comments aside: a row per two different token texts, each under the smallest id that has it."""
+    code = tx.without_comments(F.col("text"))
+    first = table(spark, d, "batch_06_mux_4_1").filter("id is not null and buggy_rtl is not null").groupBy("id").agg(F.min_by("buggy_rtl", "row_no").alias("text"))
+    texts = first.select("id", code.alias("code")).groupBy(F.sha2(F.array_join(F.regexp_extract_all("code", F.lit(redaction.TOKEN), F.lit(0)), "\n"), 256).alias("key")).agg(F.min(F.struct("id", "code")).alias("x")).select("x.id", "x.code")
+    sets = scratch(lineage.line_sets(texts, "id", tx.stripped_lines(F.col("code"), 8), "code"), "line-sets")
+    near = lineage.similar_classes(sets.select("id", "cls", "n", "ls"), 0.7).select("cls_a", "cls_b", F.col("jaccard").alias("likeness"))
+    same = sets.groupBy("cls").agg(F.count("*").alias("k")).filter("k > 1").select(F.col("cls").alias("cls_a"), F.col("cls").alias("cls_b"), F.lit(1.0).alias("likeness"))
+    a, b = (sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("cls", "id", "code")]) for x in "ab")
+    pairs = near.unionByName(same).join(a, "cls_a").join(b, "cls_b").filter("cls_a <> cls_b or id_a < id_b")
+    turn = F.col("id_a") > F.col("id_b")
+    ordered = pairs.select("likeness", F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), F.when(turn, F.col("code_b")).otherwise(F.col("code_a")).alias("x"), F.when(turn, F.col("code_a")).otherwise(F.col("code_b")).alias("y"))
+    return ordered.select("id_a", "id_b", F.round("likeness", 9).alias("likeness"), redaction.token_diff(F.col("x"), F.col("y")).alias("d")).select("id_a", "id_b", "likeness", "d.*")
+
+
 @C.add()
 def comment_redaction(spark, d):
     """Words of tool-made banners replaced inside comments of the RTL."""

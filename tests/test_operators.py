@@ -1,6 +1,10 @@
+from collections import Counter
+
 import random
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from decidra.functions import text as tx
@@ -200,6 +204,15 @@ def test_redaction_in_comments_only(spark):
 
 
 def test_token_diff(spark):
-    df = spark.createDataFrame([("a + b", "a - b"), (None, "x"), ("y " * 5000, "y")], "a string, b string")
+    data = [("a = b + 1;", "a = b - 1;"), (None, None), ("x " * 5000, "x " * 5001), ("output a, b;", "output a; output b;"), ("", "y")]
+    df = spark.createDataFrame(data, "a string, b string")
     got = [tuple(r.x) for r in df.select(redaction.token_diff(F.col("a"), F.col("b")).alias("x")).collect()]
-    assert got == [(True, 1, "+", "-"), (True, 1, "", "x"), (False, None, None, None)]
+    assert got == [(1, 0, True, "+", "-"), (0, 0, False, "", ""), (1, 0, True, "", "x"), (0, 1, False, "", ""), (1, 0, True, "", "y")]
+
+
+@given(st.lists(st.sampled_from("abc;"), max_size=12), st.lists(st.sampled_from("abc;"), max_size=12))
+def test_hunks_turn_one_list_into_the_other(p, q):
+    hunks = redaction.edit_hunks(p, q)
+    gone, come = Counter(" ".join(a for a, _ in hunks).split()), Counter(" ".join(b for _, b in hunks).split())
+    assert Counter(p) - gone + come == Counter(q) and not gone - Counter(p)
+    assert bool(hunks) == (p != q)
