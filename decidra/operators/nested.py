@@ -376,6 +376,7 @@ def _options(value) -> tuple[list[str], list[float | None]] | None:
 def _head(qid: str, value) -> dict:
     h = value if isinstance(value, dict) else {}
     options = _options(h.get("probabilities"))
+    criteria = _decoded(h.get("criteria"))
     return {
         "qid": qid,
         "type": _scalar(h.get("type")),
@@ -385,10 +386,11 @@ def _head(qid: str, value) -> dict:
         "score": _number(h.get("score")),
         "label": _scalar(h.get("label")),
         "confidence": _number(h.get("confidence")),
+        "criteria": [k for k, _ in _elements(criteria, "key", plain_by_position=True)] if isinstance(criteria, (dict, list)) else None,
     }
 
 
-_HEADS = pa.list_(pa.struct([("qid", pa.string()), ("type", pa.string()), ("label_source", pa.string()), ("keys", pa.list_(pa.string())), ("probabilities", pa.list_(pa.float64())), ("score", pa.float64()), ("label", pa.string()), ("confidence", pa.float64())]))
+_HEADS = pa.list_(pa.struct([("qid", pa.string()), ("type", pa.string()), ("label_source", pa.string()), ("keys", pa.list_(pa.string())), ("probabilities", pa.list_(pa.float64())), ("score", pa.float64()), ("label", pa.string()), ("confidence", pa.float64()), ("criteria", pa.list_(pa.string()))]))
 
 
 def _without_surrogates(value):
@@ -406,9 +408,9 @@ def heads_of(text: str | None) -> list[dict] | None:
 
 
 def heads(text: Column) -> Column:
-    """heads_of as an array of (qid, type, label_source, keys, probabilities, score, label, confidence); keys sorted, those of plain lists in their order."""
+    """heads_of as an array of (qid, type, label_source, keys, probabilities, score, label, confidence, criteria); keys sorted, those of plain lists in their order, criteria as they stand."""
 
-    @F.arrow_udf("array<struct<qid: string, type: string, label_source: string, keys: array<string>, probabilities: array<double>, score: double, label: string, confidence: double>>")
+    @F.arrow_udf("array<struct<qid: string, type: string, label_source: string, keys: array<string>, probabilities: array<double>, score: double, label: string, confidence: double, criteria: array<string>>>")
     def run(texts: pa.Array) -> pa.Array:
         found = [heads_of(t) for t in texts.to_pylist()]
         try:
