@@ -35,14 +35,15 @@ def overlaps(a: DataFrame, b: DataFrame, by: Sequence[str], width: int) -> DataF
     return x.join(y, [*by, "_bin"]).filter((F.col("a_start") <= F.col("b_end")) & (F.col("b_start") <= F.col("a_end")) & (F.col("_bin") == first)).drop("_bin")
 
 
-def ordered_number(df: DataFrame, order: Sequence[Column], weight: Column | None = None, name: str = "n", parts: int = 64) -> DataFrame:
+def ordered_number(df: DataFrame, order: Sequence[Column], weight: Column | None = None, name: str = "n", parts: int | None = None) -> DataFrame:
     """df with a running sum (of 1, or of weight) over the whole order, the row itself included.
 
-    Rows are range-partitioned by the order; each partition sums on its own, and
-    the sums of the partitions, one row each, give the offsets.
+    Rows are range-partitioned by the order, into as many parts as given or as the
+    session shuffles to; each partition sums on its own, and the sums of the
+    partitions, one row each, give the offsets.
     """
     w = weight if weight is not None else F.lit(1).cast("long")
-    placed = df.withColumn("_w", w).repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_pid", F.spark_partition_id())
+    placed = df.withColumn("_w", w).repartitionByRange(*([parts] if parts else []), *order).sortWithinPartitions(*order).withColumn("_pid", F.spark_partition_id())
     placed = placed.withColumn("_run", F.sum("_w").over(Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
     from decidra.session import scratch
 

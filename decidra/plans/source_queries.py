@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from decidra.functions import hashing
 from decidra.operators import nested
 from decidra.plans.base import Catalogue, decoded_sql, table
-from decidra.session import shared_dir
+from decidra.session import scratch_path
 from decidra.sources import adapters, readers, sinks
 
 C = Catalogue()
@@ -19,8 +17,8 @@ C = Catalogue()
 def jsonl_round_trip(spark, d):
     """Records written as ordered JSON lines and read back strictly."""
     v = table(spark, d, "veribugbench_5q").select("id", "source", "state", "gold")
-    path = f"{shared_dir(spark)}/decidra-jsonl/{uuid.uuid4().hex}"
-    sinks.write_jsonl(v, path, "id", files=8)
+    path = scratch_path(spark, "jsonl")
+    sinks.write_jsonl(v, path, "id")
     back = readers.read_jsonl_strict(spark, path, v.schema)
     return back.groupBy("source").agg(F.count("*").alias("n"), F.count("state").alias("states"), F.sum(F.coalesce(F.length("gold"), F.lit(0))).alias("gold_chars"))
 
@@ -64,7 +62,7 @@ def shard_coverage(spark, d):
 def partitioned_sink(spark, d):
     """Records written in a folder per split and counted from there."""
     v = table(spark, d, "veribugbench_5q").select("id", F.coalesce(F.lower(F.trim("provenance.split")), F.lit("none")).alias("split"))
-    path = f"{shared_dir(spark)}/decidra-splits/{uuid.uuid4().hex}"
+    path = scratch_path(spark, "splits")
     sinks.write_by(v, path, "split")
     return spark.read.parquet(path).groupBy("split").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
 
@@ -84,6 +82,6 @@ def record_validation(spark, d):
 @C.add("SELECT count(DISTINCT project_id) AS n FROM projects WHERE project_id IS NOT NULL")
 def content_snapshot(spark, d):
     """Projects published as a snapshot and read through its pointer."""
-    root = f"{shared_dir(spark)}/decidra-snapshots/{uuid.uuid4().hex}"
+    root = scratch_path(spark, "snapshots")
     sinks.publish(table(spark, d, "projects").select("project_id", hashing.short_id(F.coalesce("testbench", F.lit(""))).alias("h")), root, "v1")
     return sinks.latest(spark, root).agg(F.count_distinct("project_id").alias("n"))

@@ -49,14 +49,26 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own_dir[0]
 
 
-def scratch(df: DataFrame, label: str = "t") -> DataFrame:
-    """Write df once into the shared folder and read it back, without its lineage."""
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, label: str = "t") -> str:
+    """A new path in the shared folder, deleted when the process ends or by drop_path."""
     path = f"{shared_dir(spark)}/decidra-scratch/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
     if not _written:
         atexit.register(_drop_all)
     _written.append((spark, path))
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path that no later plan reads any more."""
+    _delete(spark, path)
+    _written[:] = [x for x in _written if x[1] != path]
+
+
+def scratch(df: DataFrame, label: str = "t") -> DataFrame:
+    """Write df once into the shared folder and read it back, without its lineage."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._decidra_path = path  # for drop_scratch
     return out
@@ -66,8 +78,7 @@ def drop_scratch(df: DataFrame) -> None:
     """Delete a scratch table that no later plan reads any more."""
     path = getattr(df, "_decidra_path", None)
     if path:
-        _delete(df.sparkSession, path)
-        _written[:] = [x for x in _written if x[1] != path]
+        drop_path(df.sparkSession, path)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

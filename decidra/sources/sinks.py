@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 
 def write_jsonl(df: DataFrame, path: str, order: str = "id", files: int | None = None) -> None:
-    """JSON lines in the order of a column over the files, keys sorted; an existing path is an error."""
+    """JSON lines in the order of a column over the files, as many as given or as the session shuffles to, keys sorted; an existing path is an error."""
     rows = df.select(*sorted(df.columns))
-    rows = rows.repartitionByRange(files, order).sortWithinPartitions(order) if files else rows.orderBy(order)
+    rows = (rows.repartitionByRange(files, order) if files else rows.repartitionByRange(order)).sortWithinPartitions(order)
     rows.write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
 
 
@@ -55,7 +55,8 @@ def latest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def markdown(df: DataFrame, most: int = 200) -> str:
-    """A small table as Markdown: its first rows, for reports over aggregates."""
+    """A small table as Markdown, for reports over aggregates; a last line says how many rows it leaves out beyond ``most``."""
     rows = df.limit(most).collect()
+    left = df.count() - most if len(rows) == most else 0
     cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
-    return "\n".join(["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns), *("| " + " | ".join(cell(v) for v in r) + " |" for r in rows)])
+    return "\n".join(["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns), *("| " + " | ".join(cell(v) for v in r) + " |" for r in rows), *([f"\n{left} more rows"] if left > 0 else [])])

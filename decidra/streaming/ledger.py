@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from decidra.session import shared_dir
+from decidra.session import scratch_path
 
 
 def apply_once(batch: DataFrame, number: int, ledger: str, key: str) -> None:
@@ -54,7 +53,7 @@ def run(stream: DataFrame, ledger: str, checkpoint: str, key: str, transform: Ca
 
 def replay(spark: SparkSession, path: str, key: str, files_per_batch: int = 64) -> DataFrame:
     """The rows of a Parquet table after they went through a ledger of their own as a stream."""
-    home = f"{shared_dir(spark)}/decidra-ledger/{uuid.uuid4().hex}"
+    home = scratch_path(spark, "ledger")
     schema = spark.read.parquet(path).schema
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
