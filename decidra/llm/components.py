@@ -1,21 +1,46 @@
 """Connected components as a table that is extended, not rebuilt.
 
-The table (node, root) gives each node the smallest node of its component.
-``extend`` contracts the graph of roots: every root hooks to its smallest
-neighbour, chains of hooks are shortened by pointer jumping, and the edges are
-mapped to the new roots, of which only distinct ones between different roots
-remain.  Each round writes its small tables to the shared folder, so the lineage
-stays short and lost executors cost one round at most.  Nothing is collected.
+Each node is written once, with the root it had when it came: ``nodes`` (node,
+root) only grows.  What merges later is in the small table ``moves`` (root, to),
+which leads every root that is none any more to its present one, in one step.
+``extend`` maps new edges to present roots and contracts that graph: every root
+hooks to its smallest neighbour, chains of hooks are shortened by pointer
+jumping, and the edges are mapped to the new roots, of which only distinct ones
+between different roots remain.  A delivery so costs what its own edges touch,
+and the moves; the nodes are read, not written again.  Each round writes its
+tables to the shared folder, so the lineage stays short and lost executors cost
+one round at most.  Nothing is collected.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from decidra.session import drop_scratch, scratch
 
 
+@dataclass
+class Components:
+    """nodes (node, root when it came); moves (root, to): to is a present root."""
+
+    nodes: DataFrame
+    moves: DataFrame
+
+    def table(self) -> DataFrame:
+        """(node, root): each node with the smallest node of its component."""
+        return present(self.nodes, "root", self.moves)
+
+
+def present(df: DataFrame, column: str, moves: DataFrame) -> DataFrame:
+    """df with the roots of a column led to the present ones."""
+    led = moves.select(F.col("root").alias(column), F.col("to").alias("_to"))
+    names = df.columns
+    return df.join(led, column, "left").withColumn(column, F.coalesce("_to", column)).select(*names)
+
+
 def _shortened(hooks: DataFrame) -> DataFrame:
     """Hooks (root, to), to < root, with every chain followed to its end."""
     while True:
@@ -27,27 +52,23 @@ def _shortened(hooks: DataFrame) -> DataFrame:
             return hooks.select("root", "to")
 
 
-def extend(table: DataFrame | None, edges: DataFrame) -> DataFrame:
-    """The table (node, root) with the edges (u, v) merged in; loops (u, u) add single nodes."""
-    old = table.select("node", "root") if table is not None else None
+def extend(known: Components | None, edges: DataFrame) -> tuple[Components, DataFrame]:
+    """The components with the edges (u, v) merged in, and the nodes (node, root) that are new; loops (u, u) add single nodes."""
     fresh = edges.select(F.explode(F.array("u", "v")).alias("node")).filter("node is not null").distinct()
-    if old is not None:
-        fresh = fresh.join(old.select("node"), "node", "left_anti")
-    nodes = fresh.select("node", F.col("node").alias("root"))
-    table = scratch(nodes if old is None else old.unionByName(nodes), "components")
+    if known is not None:
+        fresh = fresh.join(known.nodes.select("node"), "node", "left_anti")
+    fresh = scratch(fresh.select("node", F.col("node").alias("root")), "nodes")
     edges = edges.filter("u is not null and v is not null and u <> v").select("u", "v")
-    if old is not None:
-        root_of = old.filter("node <> root")
+    moves = edges.sparkSession.createDataFrame([], f"root {fresh.schema['node'].dataType.simpleString()}, to {fresh.schema['node'].dataType.simpleString()}")
+    if known is not None:
+        table, moves = known.table().filter("node <> root"), known.moves
         for end in ("u", "v"):
-            edges = edges.join(root_of.select(F.col("node").alias(end), F.col("root").alias("r")), end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
+            edges = edges.join(table.select(F.col("node").alias(end), F.col("root").alias("r")), end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
     while True:
         edges = scratch(edges.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
         if edges.isEmpty():
-            return table
+            return Components(fresh if known is None else known.nodes.unionByName(fresh), moves), fresh
         hooks = _shortened(scratch(edges.groupBy(F.col("v").alias("root")).agg(F.min("u").alias("to")), "hooks"))
-        moved = hooks.select("root", F.col("to").alias("r"))
-        new = scratch(table.join(moved, "root", "left").select("node", F.coalesce("r", "root").alias("root")), "components")
-        drop_scratch(table)
-        table = new
+        moves = scratch(present(moves, "to", hooks).unionByName(hooks), "moves")
         for end in ("u", "v"):
             edges = edges.join(hooks.select(F.col("root").alias(end), F.col("to").alias("r")), end, "left").withColumn(end, F.coalesce("r", end)).drop("r")

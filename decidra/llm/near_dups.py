@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 
 from decidra.llm import rtl
 from decidra.llm import textkernel as K
-from decidra.operators import redaction
 from decidra.session import drop_scratch, scratch
 
 #: Tokens seen in more sets than PAIR_FROM are indexed as pairs, in more than TRIPLE_SHARE of all sets as triples.
@@ -203,27 +202,3 @@ def near_duplicate_pairs(records: DataFrame, batches: DataFrame, likeness: float
     shared = members.groupBy("cid").agg(F.count("*").alias("size")).filter("size > 1").select(F.col("cid").alias("cid_a"))
     copies = a.join(shared, "cid_a", "left_semi").join(b.withColumnRenamed("cid_b", "cid_a"), "cid_a").filter("id_a < id_b").select("id_a", "id_b")
     return near.unionByName(copies).distinct()
-
-
-def near_duplicate_edits(records: DataFrame, batches: DataFrame, likeness: float = rtl.LIKENESS) -> DataFrame:
-    """(id_a, id_b, likeness, compared, n_edits, removed, added), id_a <= id_b: the token difference of every two linked ids whose RTL has different tokens.
-
-    Texts of one class of equal sets are linked too if their tokens differ. Each
-    two different texts are compared once; comments and layout do not count.
-    """
-    tokens = F.regexp_extract_all("text", F.lit(redaction.TOKEN), F.lit(0))
-    rows = scratch(rtl.rtl_rows(records, batches, cased=True).withColumn("key", F.sha2(F.array_join(tokens, "\n"), 256)), "rtl-rows")
-    classes = scratch(rows.groupBy("sid").agg(F.first("n").alias("n"), F.first("text").alias("text")).withColumn("cid", F.monotonically_increasing_id()), "rtl-classes")
-    numbers = classes.select("sid", "cid")
-    members = scratch(rows.select("id", "sid", "key").distinct().join(numbers, "sid").select("id", "cid", "key"), "members")
-    texts = scratch(rows.groupBy("sid", "key").agg(F.min("text").alias("text")).join(numbers, "sid").select("cid", "key", "text"), "texts")
-    several = texts.groupBy("cid").agg(F.count("*").alias("k")).filter("k > 1").select(F.col("cid").alias("cid_a"), F.col("cid").alias("cid_b"), F.lit(1.0).alias("likeness"))
-    links = scratch(near_classes(classes, likeness).unionByName(several), "links")
-    a, b = (texts.select(*[F.col(c).alias(f"{c}_{x}") for c in ("cid", "key", "text")]) for x in "ab")
-    pairs = links.join(a, "cid_a").join(b, "cid_b").filter("cid_a <> cid_b or key_a < key_b")
-    diff = redaction.token_diff(F.col("text_a"), F.col("text_b"))
-    edits = pairs.withColumn("x", diff).select("cid_a", "key_a", "cid_b", "key_b", "likeness", "x.*")
-    a, b = (members.select(*[F.col(c).alias(f"{c}_{x}") for c in ("cid", "key", "id")]) for x in "ab")
-    turned = F.col("id_a") > F.col("id_b")
-    of_ids = edits.join(a, ["cid_a", "key_a"]).join(b, ["cid_b", "key_b"])
-    return of_ids.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "likeness", "compared", "n_edits", F.when(turned, F.col("added")).otherwise(F.col("removed")).alias("removed"), F.when(turned, F.col("removed")).otherwise(F.col("added")).alias("added"))

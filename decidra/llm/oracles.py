@@ -53,6 +53,10 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": f"""
 WITH RECURSIVE {_LINKS}
 SELECT ids.id, coalesce(names.name, ids.id) AS group_key FROM ids LEFT JOIN first_key USING (id) LEFT JOIN names ON names.node = first_key.k""",
+        "p3_incremental": f"""
+WITH RECURSIVE {_LINKS}
+SELECT ids.id, coalesce(names.name, ids.id) AS group_key FROM ids LEFT JOIN first_key USING (id) LEFT JOIN names ON names.node = first_key.k""",
+        "p3_split_checks": "SELECT * FROM (VALUES ('without a split', 0::BIGINT), ('in several splits', 0), ('components parted', 0), ('proportions missed', 0)) t(check_name, n_bad)",
         "p4_found": f"WITH {_LIKE} SELECT id_a, id_b FROM alike",
         "p1_found": f"""
 WITH {_LIKE}, s AS (SELECT id, lower(regexp_replace(provenance.split, '^\\s+|\\s+$', '', 'g')) AS split FROM veribugbench_5q WHERE id IS NOT NULL),

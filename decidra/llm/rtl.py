@@ -39,25 +39,22 @@ def rtl_of_state(state: str | None) -> str | None:
     if state is None:
         return None
     try:
-        value = json.loads(state)
-    except ValueError:
-        return state
-    return _rtl_in(value)
+        return _rtl_in(state)
+    except RecursionError:  # a tree too deep to hold RTL where it belongs
+        return None
 
 
 def _rtl_in(value: object) -> str | None:
-    for _ in range(8):
-        if isinstance(value, dict):
-            value = value.get("buggy_rtl")
-            return value if isinstance(value, str) else None
-        if isinstance(value, list):
-            return next((x for x in map(_rtl_in, value) if x and x.strip()), None)
-        if not isinstance(value, str):
-            return None
+    while isinstance(value, str):
         try:
-            value = json.loads(value)
+            value = json.loads(value)  # a string in JSON is longer than what it holds, so this ends
         except ValueError:
             return value
+    if isinstance(value, dict):
+        found = value.get("buggy_rtl")
+        return found if isinstance(found, str) else None
+    if isinstance(value, list):
+        return next((x for x in map(_rtl_in, value) if x and x.strip()), None)
     return None
 
 

@@ -144,3 +144,44 @@ def test_mixing_of_nothing(spark):
     none, plans = spark.createDataFrame([], SIZED), spark.createDataFrame([("p", "a", 1.0, 1, "")], PLANS)
     assert mixing.mixture(none, plans).count() == 0 and mixing.share_report(none, plans).count() == 1
     assert mixing.share_report(none, plans.limit(0)).count() == 0 and mixing.unreachable_shares(none, plans).count() == 0
+
+
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_any_order_of_deliveries_ends_in_the_components_of_one(spark, tmp_path, seed):
+    r = random.Random(seed)
+    records, batches = data(seed, 60)
+    pieces = [[[], []] for _ in range(r.choice([2, 3, 4]))]
+    for kind, rows in ((0, records), (1, batches)):
+        for row in rows:
+            r.choice(pieces)[kind].append(row)
+    state, path = None, str(tmp_path / "state")
+    for k, (a, b) in enumerate(pieces):
+        state = G.update_splits(state, spark.createDataFrame(a, RECORDS), spark.createDataFrame(b, BATCHES))
+        if k % 2 == 0:
+            state.save(path)
+            state = G.SplitState.load(spark, path)
+    assert {tuple(x) for x in state.group_keys().collect()} == expected(records, batches)
+    given = state.assignment().collect()
+    assert len(given) == len({x.id for x in given}) == len(expected(records, batches))
+    assert {x.n_bad for x in G.split_checks(state, spark.createDataFrame(records, RECORDS)).filter("check_name <> 'proportions missed'").collect()} == {0}
+
+
+def test_batch_rows_that_link_known_records(spark):
+    rec = lambda *ids: spark.createDataFrame([(i, None, (None, None), "", "") for i in ids], RECORDS)
+    bat = lambda *rows: spark.createDataFrame([(k, i, p, "") for k, (i, p) in enumerate(rows)], BATCHES)
+    state = G.update_splits(None, rec("a", "b"), bat(("z", "P"), ("a", None)))
+    state = G.update_splits(state, rec("c"), bat(("a", "P"), ("b", "P")))
+    assert {tuple(x) for x in state.group_keys().collect()} == {("a", "p"), ("b", "p"), ("c", "c")}
+    state = G.update_splits(state, rec("z"), bat())
+    assert {tuple(x) for x in state.group_keys().collect()} == {("a", "p"), ("b", "p"), ("z", "p"), ("c", "c")}
+
+
+def test_many_deliveries_are_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(G, "MOST_PARTS", 2)
+    none, path, state = spark.createDataFrame([], BATCHES), str(tmp_path / "state"), None
+    for k in range(4):
+        state = G.update_splits(state, spark.createDataFrame([(f"i{k}", f"g{k // 2}", (None, None), "", "")], RECORDS), none)
+        state.save(path)
+        state = G.SplitState.load(spark, path)
+        assert all(len(p) <= 2 for p in state.saved.values())
+    assert {tuple(x) for x in state.group_keys().collect()} == {(f"i{k}", f"g{k // 2}") for k in range(4)}

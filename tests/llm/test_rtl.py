@@ -119,6 +119,14 @@ def test_state_forms():
     assert rtl.rtl_of_state('{"buggy_rtl": null}') is None and rtl.rtl_of_state('{"buggy_rtl": {"a": 1}}') is None
     assert rtl.rtl_of_state('[{"x": 1}, {"buggy_rtl": "r"}]') == "r" and rtl.rtl_of_state("[]") is None
     assert rtl.rtl_of_state(json.dumps(json.dumps({"buggy_rtl": "r"}))) == "r" and rtl.rtl_of_state("17") is None
+    often = "[" * 3 + "\"r\"" + "]" * 3
+    for _ in range(6):
+        often = json.dumps(often)
+    assert rtl.rtl_of_state(often) == "r" and rtl.rtl_of_state("[" * 100_000 + "]" * 100_000) is None
+    twelve = json.dumps({"buggy_rtl": "r"})
+    for _ in range(12):
+        twelve = json.dumps(twelve)
+    assert rtl.rtl_of_state(twelve) == "r"
 
 
 @settings(max_examples=200, deadline=None)
@@ -164,9 +172,10 @@ def test_likely_sets_share_enough_signatures(seed, n, kind):
 
 def test_components_grow_and_merge(spark):
     edges = lambda *e: spark.createDataFrame(list(e), "u string, v string")
-    one = components.extend(None, edges(("b", "c"), ("c", "d"), ("x", "x"), (None, "q")))
-    assert {tuple(r) for r in one.collect()} == {("b", "b"), ("c", "b"), ("d", "b"), ("x", "x"), ("q", "q")}
-    two = components.extend(one, edges(("d", "a"), ("x", "y")))
-    assert {tuple(r) for r in two.collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("d", "a"), ("x", "x"), ("y", "x"), ("q", "q")}
-    path = components.extend(None, edges(*[(f"n{i:03d}", f"n{i + 1:03d}") for i in range(120)]))
-    assert path.select("root").distinct().count() == 1
+    one, new = components.extend(None, edges(("b", "c"), ("c", "d"), ("x", "x"), (None, "q")))
+    assert {tuple(r) for r in one.table().collect()} == {("b", "b"), ("c", "b"), ("d", "b"), ("x", "x"), ("q", "q")} and new.count() == 5
+    two, new = components.extend(one, edges(("d", "a"), ("x", "y")))
+    assert {tuple(r) for r in two.table().collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("d", "a"), ("x", "x"), ("y", "x"), ("q", "q")}
+    assert {r.node for r in new.collect()} == {"a", "y"}
+    path, _ = components.extend(None, edges(*[(f"n{i:03d}", f"n{i + 1:03d}") for i in range(120)]))
+    assert path.table().select("root").distinct().count() == 1
