@@ -1,13 +1,17 @@
 """Problem 8: personal information in free text, by a semi-Markov conditional random field.
 
-Segments of a text that could be a mention are candidates.  A candidate has a
-score for its kind, the sum of the weights of features of the whole span: its
-shape, its grouping of digits, names it is built of, the words around it.  Text
+Every segment of up to MOST_PARTS words that is capitalised throughout or holds a
+listed name, and every segment of the shape of an address, a number or a mailbox,
+is a candidate.  A candidate has a score for its kind, the sum of the weights of
+features of the whole span: its shape, its grouping of digits, the names it is
+built of and those its words resemble, the kinds of words around it.  Text
 outside of mentions scores 0.  Among all ways to choose candidates that don't
 overlap, dynamic programming over the ends of candidates finds the best, which
-settles boundaries and kinds together.  The weights maximise the conditional
-likelihood of TRAINING_SENTENCES synthetic sentences (module ``pii_training``)
-with the names of the list; they are trained at the driver within seconds.
+settles boundaries and kinds together.  No list of cues or stop words decides
+what is a candidate; they are features, and the weights choose.  The weights
+maximise the conditional likelihood of TRAINING_SENTENCES synthetic sentences
+(module ``pii_training``) with the names of the list; they are trained at the
+driver within seconds.
 
 Defined results: null, empty and blank texts have no mentions and stay as they
 are; null ids are dropped by ``mentions``; repeated rows give one result each in
@@ -19,22 +23,30 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from decidra.llm import pii_training as T
+from decidra.llm.encoding import TOKENIZERS, read_ranks
 
 KINDS = ("name", "email", "phone", "id_number", "address")
 #: The bounded sample of labelled sentences, passes over it, and the penalty of large weights.
-TRAINING_SENTENCES, PASSES, PENALTY, SEED = 12_000, 4, 2e-4, 11
+TRAINING_SENTENCES, PASSES, PENALTY, SEED = 20_000, 5, 2e-4, 11
+#: Most words of a name: the bound of segments of the field.
+MOST_PARTS = 7
 #: Most names of the list; it goes to all tasks.
 MOST_NAMES = 200_000
 ROWS = 500
+#: Public vocabularies whose whole lower-case words count as ordinary ones (a feature; a missing file gives none).
+VOCABULARIES = (f"{TOKENIZERS}/byte_bpe_50k.tiktoken", f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken")
 
 
 def folded(word: str) -> str:
@@ -49,7 +61,7 @@ class Candidate:
     start: int
     end: int
     kind: str
-    features: tuple[str, ...]
+    features: tuple
 
 
 _WORD = re.compile(r"[^\W\d_](?:[^\W\d_]|[̀-ͯ])*(?:['’\-][^\W\d_](?:[^\W\d_]|[̀-ͯ])*)*\.?")
@@ -69,17 +81,58 @@ _BEFORE = re.compile(r"([^\W_]+|[^\w\s])[\s\"']*$")
 _AFTER = re.compile(r"(?:'s)?[\s\"']*([^\W_]+|[^\w\s])")
 
 
+#: Kinds of words next to a mention, in four languages: function words and what people are called or do, no words of any corpus.
+_CUES = {
+    "by": "by von par por per from de durch bei chez avec mit con with to an für for pour para via than als que",
+    "contact": "call ask contact ping email mail tell notify meet met see thank thanks thx cc bcc attn dear hi hello hey hola bonjour lieber liebe rufen fragen bitte appelez contactez llame llamad pregunte regards wishes cheers cordialement saludos sincerely grüßen",
+    "title": "dr prof mr mrs ms herr frau herrn m mme mlle sr sra ing don doña sir señor señora",
+    "role": "author owner reviewer engineer colleague maintainer contact manager tester user name student neighbour customer speaker chair assignee assigned approved kollege kollegin kunde autor auteur contacto speaker",
+    "source": "according laut selon según nach after",
+    "and": "and und et y e or oder ou o",
+    "negated": "not but only neither nor even nur nicht sauf solo",
+    "verb": "says said thinks told replied wrote writes asked reported confirmed agrees repaired fixed approved signed found noted suggested added knows did does has had have will would can could is was are were be been may should must hat haben war ist sind wird kann soll sagte schrieb meint a ont est était sera dit écrit pense ha han fue es está dice dijo será viene gave took saw went came knows explained",
+    "determiner": "the a an this that these those each every any all some no its our their der die das ein eine kein le la les un une el los las una al del",
+    "function": "ohne zwischen gegen über unter auf aus um in on at into onto over under between against without within during through about like near off out up down ohne sans sous sur dans entre contre depuis vers sin sobre entre contra hasta desde en bajo why how what who which where whose there here then now also too very just still again always never often once soon yes no nein oui non sí je tu il elle nous vous ils elles ich du er sie es wir ihr yo tú él ella nosotros i you he she it we they me him her us them so such same other another both all many much few more most less least than because since until although though unless whether however therefore must please due own y ni si como pero porque aunque mais donc car ni comme parce aber denn sondern weil dass ob obwohl jedoch also",
+    "when": "yesterday today tomorrow monday tuesday wednesday thursday friday when if while as gestern heute morgen wenn hier demain quand si ayer hoy mañana cuando",
+}
+#: Kinds of words that say what a number is, in four languages.
+_NUMBER_CUES = {
+    "id": "passport passports identity id ids ssn social security insurance badge licence card tax payroll visa ausweis personalausweis reisepass pass ausweisnummer steuer versicherung passeport identité sécu sécurité carte pasaporte dni nie nif cédula identidad seguridad documento documentos residence permit national",
+    "phone": "phone phones telephone tel telefon telefonnummer anruf anrufen anschluss mobil mobile handy cell fax call calls dial ring hotline office extension reach joignable téléphone portable appelez fixe teléfono móvil llama llamad llámame whatsapp sms text",
+    "count": "hash hashes commit commits checksum seed build revision rev version firmware timestamp time serial order ticket lot part page line lines table section range lane packet packets bytes cycles value values sum count merge merging revert cherry pick checkout clone release prüfsumme startwert zeile ligne línea valor valeur wert code fusionner integrar zusammenführen",
+}
+_NUMBER_CUE_OF = {folded(w): k for k, ws in _NUMBER_CUES.items() for w in ws.split()}
+_LETTERS = re.compile(r"[^\W\d_]+")
+_CUE_OF = {w: k for k, ws in _CUES.items() for w in ws.split()}
+_NOUN_END = re.compile(r"(?:tion|sion|ment|ness|ity|ing|ance|ence|ture|ware|age|ung|heit|keit|schaft|nis|eur|dad|ción|er|or|al|ic|ed|ly|us|um)s?$")
+
+
+@lru_cache(maxsize=4)
+def ordinary_words(paths: tuple[str, ...] = VOCABULARIES) -> frozenset[str]:
+    """Words of three letters or more, in lower case, that are one token after a blank in a public vocabulary."""
+    out = set()
+    for path in paths:
+        if Path(path).exists():
+            for token in read_ranks(path):
+                word = token.decode("utf-8", "replace")
+                if word[:1] == " " and len(word) > 3 and word[1:].isalpha() and word.islower():
+                    out.add(folded(word[1:]))
+    return frozenset(out)
+
+
 class Lexicon:
-    """The listed names, and what their parts say about a word."""
+    """The listed names and ordinary words, and what they say about a word."""
 
-    def __init__(self, given: list[str], family: list[str]):
+    def __init__(self, given: Sequence[str], family: Sequence[str], ordinary: Sequence[str] | None = None):
+        self.ordinary = ordinary_words() if ordinary is None else frozenset(ordinary)
         self.given = frozenset(folded(x) for x in given)
         self.family = frozenset(folded(x) for x in family)
-        self.left, self.right = T.left_contexts(), T.right_contexts()
-        self.ordinary = _ordinary_words()
+        self.starts = Counter(x[:4] for x in self.family if len(x) > 5) + Counter(x[:3] for x in self.given if len(x) > 4)
+        self.ends = Counter(x[-4:] for x in self.family if len(x) > 5) + Counter(x[-3:] for x in self.given if len(x) > 4)
+        self.of_word = lru_cache(maxsize=200_000)(self._of_word)
 
     def part(self, word: str) -> str:
-        """g, f, i (initial), b (both in one hyphenated word: family), or '' for an unlisted word."""
+        """g, f, i (initial), or '' for an unlisted word; a hyphenated word is a family name if a part of it is."""
         w = word[:-1] if word.endswith(".") else word
         if len(w) == 1:
             return "i" if word.endswith(".") or w.isupper() else ""
@@ -98,15 +151,15 @@ class Lexicon:
                 return "g"
         return ""
 
-
-@lru_cache(maxsize=1)
-def _ordinary_words() -> frozenset[str]:
-    """The words of the frames outside of slots: function words and cues, which no name is made of."""
-    words = set()
-    for frame in T.FRAMES:
-        words |= {w.lower() for w in re.findall(r"[^\W\d_]+", re.sub(r"\{\w\}", " ", frame))}
-    words |= {w.rstrip(".").lower() for w in T.TITLES}
-    return frozenset(words)
+    def _of_word(self, word: str) -> tuple[str, str, str, str]:
+        """(part, shape, cue, likeness): U, T or l for an unlisted part; the kind of cue it is; how it resembles listed names."""
+        part, shape, low = self.part(word), _shape(word), folded(word.rstrip("."))
+        like = ""
+        if part == "":
+            part = shape if len(low) > 1 else "l"
+            like = ("s" if self.starts[low[:4]] or self.starts[low[:3]] else "") + ("e" if self.ends[low[-4:]] > 1 or self.ends[low[-3:]] > 1 else "")
+            like += "o" if low in self.ordinary or low in _CUE_OF else "n" if _NOUN_END.search(low) else ""
+        return part, shape, _CUE_OF.get(low, ""), like
 
 
 def _shape(word: str) -> str:
@@ -114,6 +167,16 @@ def _shape(word: str) -> str:
     return "U" if len(w) > 1 and w.isupper() else "T" if w[:1].isupper() else "l"
 
 
+def _kind_of(token: str) -> str:
+    """A neighbour by its cue, else by what it is made of."""
+    cue = _CUE_OF.get(token.lower())
+    if cue:
+        return cue
+    if not token[:1].isalnum():
+        return token
+    return "number" if token[0].isdigit() else "U" if len(token) > 1 and token.isupper() else "T" if token[0].isupper() else "l"
+
+
 def _around(text: str, start: int, end: int) -> tuple[str, str, str, bool]:
     """The word or sign before, the one before that, the one after, and whether a neighbour is in capitals."""
     left = text[max(0, start - 40) : start]
@@ -122,88 +185,112 @@ def _around(text: str, start: int, end: int) -> tuple[str, str, str, bool]:
     m2 = _BEFORE.search(left[: m.start()]) if m else None
     a = _AFTER.match(text, end, end + 30)
     after = a[1] if a else "$"
-    return before.lower(), m2[1].lower() if m2 else "^", after.lower(), any(len(w) > 1 and w.isalpha() and w.isupper() for w in (before, after))
+    return before, m2[1] if m2 else "^", after, any(len(w) > 1 and w.isalpha() and w.isupper() for w in (before, after))
 
 
-def _names(text: str, lex: Lexicon, out: list[Candidate]) -> None:
-    words = list(_WORD.finditer(text))
-    parts: list[str | None] = [None] * len(words)  # looked up when needed
+_GAPS = {" ": "", "\t": "", "\xa0": "", ", ": ",", ",": ",", "\n": "n", "\r\n": "n", "\n ": "n"}
 
-    def part(i: int) -> str:
-        if parts[i] is None:
-            w = words[i][0]
-            parts[i] = lex.part(w) or (_shape(w) if _shape(w) != "l" and len(w) > 1 else "l")
-        return parts[i]
 
+def _names(text: str, lex: Lexicon, out: list[Candidate]) -> None:
+    words = list(_WORD.finditer(text))
     n = len(words)
+    of_word = lex.of_word
+    info = [of_word(m[0]) for m in words]
     for i in range(n):
-        m = words[i]
-        w = m[0]
-        if lex.part(w) == "" and (w[0].islower() or folded(w.rstrip(".")) in lex.ordinary):
+        part, shape, cue, _ = info[i]
+        w = words[i][0]
+        if part == "l" and not (i + 1 < n and info[i + 1][0] in "gf"):
             continue
-        if len(w) == 2 and w[0].islower() and w[1] == "." and not (i + 1 < n and lex.part(words[i + 1][0])):
+        if part == "i" and not (i + 1 < n and (info[i + 1][0] != "l")):
             continue
-        s = m.start()
+        s = words[i].start()
         if s and (text[s - 1] in "@＠_" or text[s - 1].isdigit()):
             continue
-        seq = [part(i)]
-        ends = [m.end()]
-        gaps = ""
-        for j in range(i + 1, min(n, i + 4)):
-            a, b = words[j - 1].end(), words[j].start()
-            gap = text[a:b]
-            if gap in (" ", " ", "\t"):
-                g = ""
-            elif len(gap) <= 3 and gap and not gap.strip("  \t  "):
-                g = "w"
-            elif gap in (", ", ","):
-                g = ","
-            elif gap in ("\n", "\r\n", "\n "):
-                g = "n"
-            elif gap == "" and words[j - 1][0].endswith("."):
-                g = ""
-            else:
+        left = None
+        gaps, kinds, listed, lower = "", part, part in "gf", part == "l"
+        for j in range(i + 1, min(n, i + MOST_PARTS)):
+            before_end, start = words[j - 1].end(), words[j].start()
+            gap = text[before_end:start]
+            g = _GAPS.get(gap)
+            if g is None:
+                if gap == "" and words[j - 1][0].endswith("."):
+                    g = ""
+                elif len(gap) <= 3 and gap and not gap.strip(" \t\xa0\u2009\u202f"):
+                    g = "w"
+                else:
+                    break
+            if words[j - 1][0].endswith(".") and (info[j - 1][0] != "i" or g == "n"):
                 break
-            if words[j - 1][0].endswith(".") and (part(j - 1) != "i" or g == "n"):
-                break
-            p = part(j)
-            if p == "l":
-                break
-            seq.append(p)
+            p = info[j][0]
+            kinds += p
             gaps += g or "s"
+            listed += p in "gf"
+            lower += p == "l"
+            if lower and (j > i + 1 or not listed):  # a word in lower case only beside a listed name
+                break
+            if kinds.strip("i") == "":
+                continue
             e = words[j].end()
-            if words[j][0].endswith(".") and p != "i":
+            word = words[j][0]
+            if word.endswith(".") and p != "i":
                 e -= 1
-            tail = words[j][0].endswith(("'s", "’s"))
+            tail = word.endswith(("'s", "’s"))
             if tail:
                 e -= 2
-            if text[e : e + 1] in ("@", "＠", "_") or text[e : e + 1].isdigit():
+            follows = text[e : e + 1]
+            if follows in ("@", "＠", "_") and follows or follows.isdigit():
+                break
+            if left is None:
+                before, before2, _, loud_left = _around(text, s, s)
+                left = (before.lower(), _kind_of(before), _kind_of(before2))
+                opens = s == 0 or text[s - 1] == "\n" or before in ".!?:"
+            a = _AFTER.match(text, e, e + 30)
+            after = a[1] if a else "$"
+            loud = loud_left or len(after) > 1 and after.isalpha() and after.isupper()
+            span = info[i : j + 1]
+            shapes = "".join(sorted({x[1] for x in span if x[0] != "i"}))
+            unlisted = [x for x in span if x[0] in "TUl"]
+            some = min(int(listed), 2)
+            left_kind, right_kind = left[1], _kind_of(after)
+            out.append(
+                Candidate(
+                    s,
+                    e,
+                    "name",
+                    (
+                        "bias",
+                        ("pattern", re.sub("[TU]", "x", kinds)),
+                        ("initials", "".join("u" if x[1] == "T" else "l" for x in span if x[0] == "i"), "l" if shapes == "l" else "u", some),
+                        ("shapes", shapes, some),
+                        ("gaps", gaps),
+                        ("gaps", gaps.strip("s"), some),
+                        ("listed", int(listed), len(kinds)),
+                        ("left", left_kind, some),
+                        ("left2", left[2], some),
+                        ("right", right_kind, some),
+                        ("both", left_kind, right_kind, some),
+                        ("before", left[0]),
+                        ("after", after.lower()),
+                        ("first cue", span[0][2] if span[0][0] in "TUl" else ""),
+                        ("cues", sum(bool(x[2]) for x in unlisted), some),
+                        ("likes", "".join(sorted(x[3].replace("n", "").replace("o", "") or "-" for x in unlisted)), some),
+                        ("noun ends", sum("n" in x[3] for x in unlisted), some),
+                        ("ordinary", sum("o" in x[3] for x in unlisted), len(unlisted), some),
+                        ("first", span[0][3][-1:], some),
+                        ("last", span[-1][3][-1:], some),
+                        ("loud", loud, "U" in shapes, some),
+                        ("lower", int(lower), some),
+                        ("possessive", tail),
+                        ("opens", opens, kinds),
+                        ("opens", opens, span[0][0], span[0][3], some),
+                        ("first letter", words[i][0][-1:] if span[0][0] in "TUl" else "", opens),
+                        ("first end", words[i][0][-2:] if span[0][0] in "TUl" else "", opens),
+                        ("line", follows in ("\n", "\r", ""), left_kind, some),
+                    ),
+                )
+            )
+            if tail:
                 break
-            ends.append(e)
-            listed = sum(x in "gf" for x in seq)
-            if all(x == "i" for x in seq):
-                continue
-            if not listed or "," in gaps:
-                before, before2, after, loud = _around(text, s, e)
-                if not listed and (before not in lex.left and after not in lex.right or "," in gaps and before not in lex.left):
-                    continue
-                if not listed and "U" in seq and before not in lex.left:
-                    continue
-            else:
-                before, before2, after, loud = _around(text, s, e)
-            inner = [folded(words[k][0].rstrip(".")) for k in range(i, j + 1)]
-            kinds = "".join(seq)
-            pattern = re.sub("[TU]", "x", kinds)
-            features = ["bias", f"pattern={pattern}", f"gaps={gaps}", f"shapes={''.join(sorted({_shape(words[k][0]) for k in range(i, j + 1) if seq[k - i] != 'i'}))}", f"listed={listed}", f"before={before}", f"before2={before2}", f"after={after}", f"ordinary={sum(x in lex.ordinary and lex.part(x) == '' for x in inner)}"]
-            if before in lex.left:
-                features.append(f"cue-left,{min(listed, 2)}")
-            if after in lex.right or tail:
-                features.append(f"cue-right,{min(listed, 2)}")
-            if loud:
-                features.append(f"loud,{min(listed, 2)}")
-            if "U" in seq and "T" in seq:
-                features.append("mixed-case")
-            out.append(Candidate(s, e, "name", tuple(features)))
 
 
 def _emails(text: str, out: list[Candidate]) -> None:
@@ -221,45 +308,54 @@ def _emails(text: str, out: list[Candidate]) -> None:
         sign = m[0].strip()
         last = re.split(r"[^\w-]+", d[0])[-1]
         written = "plain" if sign in "@＠" else "word" if sign.lower() == "at" else "bracket"
-        out.append(Candidate(s, d.end(), "email", ("bias", f"sign={written}", f"top={'letters' if last.isalpha() else 'other'}", f"host-digit={d[1][0].isdigit()}", f"underscore={'_' in d[0]}", f"length={min(len(last), 8)}")))
+        out.append(Candidate(s, d.end(), "email", ("bias", ("sign", written), ("top", last.isalpha()), ("host digit", d[1][0].isdigit()), ("underscore", "_" in d[0]), ("length", min(len(last), 8)))))
 
 
 def _groups(s: str) -> str:
     return "-".join(str(len(g)) for g in re.findall(r"\d+", s))
 
 
+def _near(text: str, start: int, end: int) -> str:
+    """The kind of the nearest telling word among the five before a number on its line, else among the two after it."""
+    left = _LETTERS.findall(text[max(0, start - 60) : start].rsplit("\n", 1)[-1])[-5:]
+    for w in [*reversed(left), *_LETTERS.findall(text[end : end + 24].split("\n", 1)[0])[:2]]:
+        if cue := _NUMBER_CUE_OF.get(folded(w)):
+            return cue
+    return ""
+
+
 def _numbers(text: str, out: list[Candidate]) -> None:
     for m in _NUMBER.finditer(text):
         s = m[0]
         digits = sum(c.isdigit() for c in s)
-        if digits > 16:
-            continue
         before, before2, after, loud = _around(text, m.start(), m.end())
         signs = "".join(sorted({c for c in s if not c.isdigit()}))
         lead = "+" if s[0] == "+" else "(" if s[0] == "(" else "00" if s[:2] == "00" else "0" if s[0] == "0" else "n"
         groups = _groups(s)
-        features = ("bias", f"groups={groups}", f"lead={lead}", f"groups={groups},{lead}", f"signs={signs}", f"digits={digits}", f"digits={digits},{lead}", f"before={before}", f"before={before},{before2}", f"after={after}", f"n={groups.count('-') + 1}")
+        n = min(digits, 20)
+        near = _near(text, m.start(), m.end())
+        features = ("bias", ("groups", groups), ("lead", lead), ("groups", groups, lead), ("signs", signs), ("digits", n), ("digits", n, lead), ("digits", n, signs), ("before", before.lower()), ("before", before.lower(), before2.lower()), ("before2", before2.lower()), ("left", _kind_of(before)), ("left", _kind_of(before), n), ("right", _kind_of(after)), ("after", after.lower()), ("parts", groups.count("-") + 1), ("near", near), ("near", near, n, signs), ("near", near, lead))
         out.append(Candidate(m.start(), m.end(), "phone", features))
         out.append(Candidate(m.start(), m.end(), "id_number", features))
     for m in _CODE.finditer(text):
         before, before2, after, loud = _around(text, m.start(), m.end())
-        s = m[0]
-        shape = re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", s)))
-        out.append(Candidate(m.start(), m.end(), "id_number", ("bias", "code", f"shape={shape}", f"case={'a' in shape}", f"before={before}", f"before={before},{before2}", f"after={after}")))
+        shape = re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", m[0])))
+        near = _near(text, m.start(), m.end())
+        out.append(Candidate(m.start(), m.end(), "id_number", ("bias", "code", ("near", near, "code"), ("near", near, shape), ("shape", shape), ("form", shape.strip("Aa9"), len(shape)), ("case", "a" in shape), ("letters", shape.count("A") + shape.count("a"), len(shape)), ("before", before.lower()), ("before", before.lower(), before2.lower()), ("left", _kind_of(before), "code"), ("right", _kind_of(after), "code"), ("after", after.lower()))))
 
 
 def _addresses(text: str, out: list[Candidate]) -> None:
-    def add(start: int, end: int, form: str, *more: str) -> None:
+    def add(start: int, end: int, form: str, *more) -> None:
         tail = _TOWN.match(text, end)
         town = tail[0] if tail else ""
-        before, before2, _, _ = _around(text, start, end)
-        features = ("bias", f"form={form}", f"town={bool(town)}", f"code={bool(re.search(r'[0-9]{4,5}', town))}", f"before={before}", f"before={before},{form}", *more)
-        out.append(Candidate(start, end + len(town), "address", features))
+        before, _, _, _ = _around(text, start, end)
+        shared = ("bias", ("form", form), ("left", _kind_of(before)), ("left", _kind_of(before), form), *more)
+        out.append(Candidate(start, end + len(town), "address", (*shared, ("town", bool(town)), ("code", bool(re.search(r"[0-9]{4,5}", town))))))
         if town:
-            out.append(Candidate(start, end, "address", (*features[:2], "town=False", *features[3:], "cut")))
+            out.append(Candidate(start, end, "address", (*shared, "cut")))
 
     for m in _STREET_EN.finditer(text):
-        add(m.start(), m.end(), "en", f"case={m[2][0].isupper()}", f"words={m[2].count(' ')}", f"type={m[3].lower()}")
+        add(m.start(), m.end(), "en", ("case", m[2][0].isupper()), ("words", m[2].count(" ")), ("type", m[3].lower()))
     for m in _STREET_FR.finditer(text):
         add(m.start(), len(text[: m.end()].rstrip(" ,")) if m[0][-1] in " ," else m.end(), "fr")
     for m in _STREET_ES.finditer(text):
@@ -272,9 +368,8 @@ def _addresses(text: str, out: list[Candidate]) -> None:
             lead = words[k].lower() in ("am", "an", "im", "alte", "unter", "auf", "zum", "zur", "neue", "obere", "untere")
             if len(words) - k > 1 and not (lead or tail) or not words[k][0].isupper():
                 continue
-            before, before2, _, _ = _around(text, start, m.end())
-            add_features = ("bias", "form=de", f"street={tail}", f"lead={lead}", f"words={len(words) - k}", f"words={len(words) - k},{lead},{tail}", f"before={before}", f"before={before},de")
-            out.append(Candidate(start, m.end(), "address", add_features))
+            before, _, _, _ = _around(text, start, m.end())
+            out.append(Candidate(start, m.end(), "address", ("bias", ("form", "de"), ("street", tail), ("lead", lead), ("words", len(words) - k), ("words", len(words) - k, lead, tail), ("left", _kind_of(before)), ("left", _kind_of(before), "de"))))
 
 
 def candidates(text: str, lex: Lexicon) -> list[Candidate]:
@@ -290,29 +385,22 @@ def candidates(text: str, lex: Lexicon) -> list[Candidate]:
 
 @dataclass(frozen=True)
 class Model:
+    """Names, ordinary words, and by kind the weight of each feature."""
+
     given: tuple[str, ...]
     family: tuple[str, ...]
-    weights: dict[str, float]
+    ordinary: tuple[str, ...]
+    weights: dict[str, dict]
 
     def score(self, c: Candidate) -> float:
-        w, k = self.weights, c.kind
-        return sum(w.get(f"{k}:{f}", 0.0) for f in c.features)
+        get = self.weights[c.kind].get
+        return sum([get(f, 0.0) for f in c.features])
 
 
 def _previous(found: list[Candidate]) -> list[int]:
     """For each candidate how many end at or before its start."""
     ends = [c.end for c in found]
-    out = []
-    for c in found:
-        lo, hi = 0, len(ends)
-        while lo < hi:
-            mid = (lo + hi) // 2
-            if ends[mid] <= c.start:
-                lo = mid + 1
-            else:
-                hi = mid
-        out.append(lo)
-    return out
+    return [bisect_right(ends, c.start) for c in found]
 
 
 def best_segments(found: list[Candidate], scores: list[float]) -> list[Candidate]:
@@ -351,36 +439,38 @@ def _marginals(found: list[Candidate], scores: list[float]) -> list[float]:
     return [math.exp(min(0.0, forward[before[i]] + scores[i] + backward[i + 1] - forward[n])) for i in range(n)]
 
 
-def train(given: list[str], family: list[str], sentences: int = TRAINING_SENTENCES, passes: int = PASSES, seed: int = SEED) -> Model:
+def train(given: list[str], family: list[str], sentences: int = TRAINING_SENTENCES, passes: int = PASSES, seed: int = SEED, frames: Sequence[str] = T.FRAMES) -> Model:
     """Weights of the highest penalised conditional likelihood, by adaptive gradient steps; the same for the same names."""
     given, family = sorted(set(given)), sorted(set(family))
     lex = Lexicon(given, family)
     examples = []
-    for s in T.sentences(given, family, sentences, seed):
+    for s in T.sentences(given, family, sentences, seed, frames):
         found = candidates(s.text, lex)
         # of a mention whose end is open the longest candidate with its start is the right one
-        right = {}
+        right: dict[tuple[str, int], int] = {}
         for i, c in enumerate(found):
             for a, b, kind in s.spans:
-                if c.kind == kind and c.start == a and (c.end == b or kind == "address" and c.end > a) and (kind not in right or abs(c.end - b) < abs(found[right[kind, a]].end - b) if (kind, a) in right else True):
-                    right[kind, a] = i
-        chosen = set(right.values())
+                if c.kind == kind and c.start == a and (c.end == b or kind == "address" and c.end > a):
+                    if (kind, a) not in right or abs(c.end - b) < abs(found[right[kind, a]].end - b):
+                        right[kind, a] = i
         if found:
-            examples.append((found, [[f"{c.kind}:{f}" for f in c.features] for c in found], chosen))
-    weights: dict[str, float] = {}
-    squares: dict[str, float] = {}
+            examples.append((found, set(right.values())))
+    weights: dict[str, dict] = {k: {} for k in KINDS}
+    squares: dict[str, dict] = {k: {} for k in KINDS}
     for _ in range(passes):
-        for found, features, chosen in examples:
-            scores = [sum(weights.get(f, 0.0) for f in fs) for fs in features]
+        for found, chosen in examples:
+            scores = [sum([weights[c.kind].get(f, 0.0) for f in c.features]) for c in found]
             for i, p in enumerate(_marginals(found, scores)):
                 g = (i in chosen) - p
                 if abs(g) < 1e-4:
                     continue
-                for f in features[i]:
-                    step = g - PENALTY * weights.get(f, 0.0)
-                    squares[f] = squares.get(f, 1e-2) + step * step
-                    weights[f] = weights.get(f, 0.0) + 0.4 * step / math.sqrt(squares[f])
-    return Model(tuple(given), tuple(family), weights)
+                w, q = weights[found[i].kind], squares[found[i].kind]
+                for f in found[i].features:
+                    old = w.get(f, 0.0)
+                    step = g - PENALTY * old
+                    q[f] = q.get(f, 1e-2) + step * step
+                    w[f] = old + 0.4 * step / math.sqrt(q[f])
+    return Model(tuple(given), tuple(family), tuple(sorted(lex.ordinary)), weights)
 
 
 def find(text: str | None, model: Model, lex: Lexicon) -> list[Candidate]:
@@ -409,9 +499,9 @@ _lexica: dict[int, Lexicon] = {}
 
 
 def _lexicon(model: Model) -> Lexicon:
-    key = hash((model.given, model.family))
+    key = hash((model.given, model.family, model.ordinary))
     if key not in _lexica:
-        _lexica[key] = Lexicon(list(model.given), list(model.family))
+        _lexica[key] = Lexicon(model.given, model.family, model.ordinary)
     return _lexica[key]
 
 
