@@ -39,7 +39,7 @@ from decidra.llm.encoding import TOKENIZERS, read_ranks
 
 KINDS = ("name", "email", "phone", "id_number", "address")
 #: The bounded sample of labelled sentences, passes over it, and the penalty of large weights.
-TRAINING_SENTENCES, PASSES, PENALTY, SEED = 20_000, 5, 2e-4, 11
+TRAINING_SENTENCES, PASSES, PENALTY, SEED = 14_000, 4, 2e-4, 11
 #: Most words of a name: the bound of segments of the field.
 MOST_PARTS = 7
 #: Most names of the list; it goes to all tasks.
@@ -66,6 +66,7 @@ class Candidate:
 
 _WORD = re.compile(r"[^\W\d_](?:[^\W\d_]|[̀-ͯ])*(?:['’\-][^\W\d_](?:[^\W\d_]|[̀-ͯ])*)*\.?")
 _AT = re.compile(r"[@＠]|&#64;|%40|\s?[\[({<]\s?at\s?[\])}>]\s?|\sat\s(?=[\w-]+(?:\sdot\s[\w-]+)+)", re.I)
+_AT_WORD = re.compile(r"[aA][tT]\s?[\])}> \t\r\n]")
 _LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._+-")
 _DOMAIN = re.compile(r"([^\W_][\w-]*)((?:\s?(?:[\[({]\s?(?:dot|\.)\s?[\])}])\s?|\sdot\s|[.。])[^\W_][\w-]*)+", re.I)
 _NUMBER = re.compile(r"(?<![\w.'+/\-#$%])(?:\+\s?|\()?\d(?:[  ./\-()]{0,2}\d){6,24}(?![\w%])")
@@ -76,6 +77,12 @@ _STREET_FR = re.compile(rf"(?<![\w.'#])\d{{1,5}}(?: ?(?:bis|ter|quater))?,? (?:r
 _STREET_DE = re.compile(rf"(?<!\w)((?:{_CAP} ){{0,2}}{_CAP}(?:\.|(?<=\w))) (\d{{1,4}}(?: ?[a-z](?!\w))?), (\d{{4,5}}) ({_CAP}(?: (?:am|an der|im|ob der) {_CAP})?)")
 _STREET_ES = re.compile(rf"(?<!\w)(?:Calle|C/|Avda\.?|Avenida|Plaza|Pza\.?|Paseo|Camino|Ronda) ?(?:{_CAP} ){{1,5}}\d{{1,4}}", re.I)
 _TOWN = re.compile(rf"(?:, (?:Apt|Unit|Suite) \w+| ?#\w+|, \w{{1,4}}[º°]\w?|, piso \w+|, bajo)?(?:(?:, | - |\r?\n|,\r?\n)(?:(?:[A-Z]{{2}} )?\d{{4,5}} {_CAP}(?: {_CAP}){{0,3}}|{_CAP}(?: {_CAP})?(?:,? (?:[A-Z]{{2}} )?\d{{4,5}})?))?")
+#: The words that the patterns of streets hold, by language.
+_STREET_WORDS = {"en": "st street rd road ave avenue blvd boulevard lane ln court ct terrace drive dr way place square", "fr": "rue av bd impasse chemin quai allee route cours", "es": "calle c avda avenida plaza pza paseo camino ronda"}
+_STREET_WORD_OF = {w: k for k, ws in _STREET_WORDS.items() for w in ws.split()}
+_STREET_WORD_OF |= {w: "en fr" for w in ("avenue", "boulevard", "place")}
+_DIGIT = re.compile(r"\d")
+_GERMAN_NUMBER = re.compile(r"\d{1,4}(?: ?[a-z])?, \d{4,5} ")
 _GERMAN_STREET = re.compile(r"(?:straße|strasse|str\.|weg|gasse|allee|platz|ring|damm|ufer|graben|steig|hof)$", re.I)
 _BEFORE = re.compile(r"([^\W_]+|[^\w\s])[\s\"']*$")
 _AFTER = re.compile(r"(?:'s)?[\s\"']*([^\W_]+|[^\w\s])")
@@ -151,15 +158,15 @@ class Lexicon:
                 return "g"
         return ""
 
-    def _of_word(self, word: str) -> tuple[str, str, str, str]:
-        """(part, shape, cue, likeness): U, T or l for an unlisted part; the kind of cue it is; how it resembles listed names."""
+    def _of_word(self, word: str) -> tuple[str, str, str, str, str]:
+        """(part, shape, cue, likeness, street): U, T or l for an unlisted part; the kind of cue it is; how it resembles listed names; the language of the street word it is."""
         part, shape, low = self.part(word), _shape(word), folded(word.rstrip("."))
         like = ""
         if part == "":
             part = shape if len(low) > 1 else "l"
             like = ("s" if self.starts[low[:4]] or self.starts[low[:3]] else "") + ("e" if self.ends[low[-4:]] > 1 or self.ends[low[-3:]] > 1 else "")
             like += "o" if low in self.ordinary or low in _CUE_OF else "n" if _NOUN_END.search(low) else ""
-        return part, shape, _CUE_OF.get(low, ""), like
+        return part, shape, _CUE_OF.get(low, ""), like, _STREET_WORD_OF.get(low, "")
 
 
 def _shape(word: str) -> str:
@@ -191,16 +198,12 @@ def _around(text: str, start: int, end: int) -> tuple[str, str, str, bool]:
 _GAPS = {" ": "", "\t": "", "\xa0": "", ", ": ",", ",": ",", "\n": "n", "\r\n": "n", "\n ": "n"}
 
 
-def _names(text: str, lex: Lexicon, out: list[Candidate]) -> None:
-    words = list(_WORD.finditer(text))
+def _names(text: str, words: list[re.Match], info: list[tuple], out: list[Candidate]) -> None:
     n = len(words)
-    of_word = lex.of_word
-    info = [of_word(m[0]) for m in words]
-    for i in range(n):
-        part, shape, cue, _ = info[i]
-        w = words[i][0]
-        if part == "l" and not (i + 1 < n and info[i + 1][0] in "gf"):
-            continue
+    begins = [i for i, x in enumerate(info) if x[0] != "l"]
+    begins += [i - 1 for i in begins if i and info[i][0] in "gf" and info[i - 1][0] == "l"]
+    for i in begins:
+        part = info[i][0]
         if part == "i" and not (i + 1 < n and (info[i + 1][0] != "l")):
             continue
         s = words[i].start()
@@ -294,6 +297,8 @@ def _names(text: str, lex: Lexicon, out: list[Candidate]) -> None:
 
 
 def _emails(text: str, out: list[Candidate]) -> None:
+    if not ("@" in text or "＠" in text or "&#64;" in text or "%40" in text or _AT_WORD.search(text)):
+        return
     for m in _AT.finditer(text):
         s = m.start()
         while s > 0 and text[s - 1] in _LOCAL_CHARS:
@@ -344,7 +349,9 @@ def _numbers(text: str, out: list[Candidate]) -> None:
         out.append(Candidate(m.start(), m.end(), "id_number", ("bias", "code", ("near", near, "code"), ("near", near, shape), ("shape", shape), ("form", shape.strip("Aa9"), len(shape)), ("case", "a" in shape), ("letters", shape.count("A") + shape.count("a"), len(shape)), ("before", before.lower()), ("before", before.lower(), before2.lower()), ("left", _kind_of(before), "code"), ("right", _kind_of(after), "code"), ("after", after.lower()))))
 
 
-def _addresses(text: str, out: list[Candidate]) -> None:
+def _addresses(text: str, streets: str, out: list[Candidate]) -> None:
+    """streets names the languages whose street words the text has; German forms need a house number, a comma and a code."""
+
     def add(start: int, end: int, form: str, *more) -> None:
         tail = _TOWN.match(text, end)
         town = tail[0] if tail else ""
@@ -354,13 +361,13 @@ def _addresses(text: str, out: list[Candidate]) -> None:
         if town:
             out.append(Candidate(start, end, "address", (*shared, "cut")))
 
-    for m in _STREET_EN.finditer(text):
+    for m in _STREET_EN.finditer(text) if "en" in streets else ():
         add(m.start(), m.end(), "en", ("case", m[2][0].isupper()), ("words", m[2].count(" ")), ("type", m[3].lower()))
-    for m in _STREET_FR.finditer(text):
+    for m in _STREET_FR.finditer(text) if "fr" in streets else ():
         add(m.start(), len(text[: m.end()].rstrip(" ,")) if m[0][-1] in " ," else m.end(), "fr")
-    for m in _STREET_ES.finditer(text):
+    for m in _STREET_ES.finditer(text) if "es" in streets else ():
         add(m.start(), m.end(), "es")
-    for m in _STREET_DE.finditer(text):
+    for m in _STREET_DE.finditer(text) if _GERMAN_NUMBER.search(text) else ():
         words = m[1].split(" ")
         for k in range(len(words)):
             start = m.start() + sum(len(w) + 1 for w in words[:k])
@@ -375,10 +382,15 @@ def _addresses(text: str, out: list[Candidate]) -> None:
 def candidates(text: str, lex: Lexicon) -> list[Candidate]:
     """All candidates of a text in the order of their ends."""
     out: list[Candidate] = []
+    words = list(_WORD.finditer(text))
+    of_word = lex.of_word
+    info = [of_word(m[0]) for m in words]
+    streets = " ".join({x[4] for x in info})
     _emails(text, out)
-    _numbers(text, out)
-    _addresses(text, out)
-    _names(text, lex, out)
+    if _DIGIT.search(text):
+        _numbers(text, out)
+        _addresses(text, streets, out)
+    _names(text, words, info, out)
     out.sort(key=lambda c: (c.end, c.start, c.kind))
     return out
 
