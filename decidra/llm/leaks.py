@@ -7,8 +7,13 @@ marks them in both texts, and goes on with shorter ones down to SEED words.  A
 pair is a leak if one tile has LONG_RUN words, or if the tiles together cover
 COVERAGE of the item, in whatever order its passages stand.
 
-The items are the stated query set: their index goes to all tasks in blocks of at
-most BLOCK_WORDS words, one pass over the documents for each block.
+Every document is read and cut into words once, however many items there are.  A
+Bloom filter of the items' seeds, of at most 2**MOST_BITS bits, tells which
+documents may share any; of these only the stretches under such seeds are kept.
+Pairs are found by a join of seeds.  A leaked item shares at least ``needed`` of
+its seed places, so all but its ``needed - 1`` most frequent seeds are joined:
+phrases that a large part of the corpus holds make no pairs.  Items, seeds and
+documents stay in tables; only the filter passes the driver.
 
 Defined results: null and empty texts never match; items of fewer than SEED words
 never match; null ids are dropped; repeated rows give one result.
@@ -16,71 +21,139 @@ never match; null ids are dropped; repeated rows give one result.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from decidra.llm import textkernel as K
+from decidra.session import scratch
 
 SEED, LONG_RUN, COVERAGE = 5, 12, 0.6
-#: Words of items in one block of the index (about 40 bytes each in a task).
-BLOCK_WORDS = 1_000_000
+#: The filter has BITS_PER_SEED bits for each seed of the items, between these powers of two, and PROBES of them are asked.
+BITS_PER_SEED, LEAST_BITS, MOST_BITS, PROBES = 32, 16, 28, 4
+#: It travels in blocks of 2 to this power bits.
+BLOCK_BITS = 16
 ROWS = 2000
 
 _BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Stands between stretches of a document; no word has this hash.
+_BREAK = np.uint64(0)
 
 
-class ItemIndex:
-    """Word hashes of a block of items and where each run of SEED words occurs."""
-
-    def __init__(self, ids: list[int], texts: list[str]):
-        self.ids = np.array(ids, np.int64)
-        words, bounds = [], [0]
-        for a, b in K.chunks(texts):
-            w, at = K.token_hashes(texts[a:b], symbols=False)
-            words.append(w)
-            bounds.extend((at[1:] + bounds[-1]).tolist())
-        self.words = np.concatenate(words) if words else np.empty(0, np.uint64)
-        self.bounds = np.array(bounds, np.int64)
-        grams, at = K.run_hashes(self.words, self.bounds, SEED)
-        counts = np.diff(at)
-        item = np.repeat(np.arange(len(ids)), counts)
-        place = np.arange(len(grams)) - np.repeat(at[:-1], counts)
-        order = np.argsort(grams, kind="stable")
-        self.grams, self.item, self.place = grams[order], item[order], place[order]
-        self.distinct = np.unique(self.grams)
-
-    def candidates(self, grams: np.ndarray, coverage: float, long_run: int) -> list[int]:
-        """Items of which seeds in grams cover enough words, or a run of long_run words in the item."""
-        lo, hi = np.searchsorted(self.grams, grams, "left"), np.searchsorted(self.grams, grams, "right")
-        n = hi - lo
-        at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        pairs = np.unique(self.item[at] * (1 << 32) + self.place[at])
-        out = []
-        items = pairs >> 32
-        starts = np.flatnonzero(np.concatenate(([True], items[1:] != items[:-1])))
-        for a, b in zip(starts, np.append(starts[1:], len(items))):
-            i = int(items[a])
-            length = int(self.bounds[i + 1] - self.bounds[i])
-            places = pairs[a:b] & 0xFFFFFFFF
-            gaps = np.diff(places)
-            covered = SEED + int(np.minimum(gaps, SEED).sum())
-            breaks = np.flatnonzero(gaps != 1)
-            longest = int(np.diff(np.concatenate(([-1], breaks, [len(places) - 1]))).max()) + SEED - 1
-            if longest >= long_run or covered >= coverage * length:
-                out.append(i)
-        return out
+def needed(words: int, coverage: float = COVERAGE, long_run: int = LONG_RUN) -> int:
+    """How many of its seed places an item of so many words shares at least with a document that it leaked into."""
+    return max(1, min(long_run - SEED + 1, math.ceil(coverage * words / SEED - 1e-9)))
+
+
+def _spots(seeds: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    for k in range(PROBES):
+        yield (K.mix64(seeds ^ np.uint64(0x632BE59BD9B4E019 * (k + 1) & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _seeds_of(words: np.ndarray) -> np.ndarray:
+    return K.run_hashes(words, np.array([0, len(words)], np.int64), SEED)[0]
+
+
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            ids, texts = (c.to_pylist() for c in whole.slice(at, ROWS).columns)
+            kept, words = [], []
+            for a, b in K.chunks(texts):
+                hashes, bounds = K.token_hashes(texts[a:b], symbols=False)
+                for i in range(b - a):
+                    own = hashes[bounds[i] : bounds[i + 1]]
+                    if len(own) >= SEED:
+                        kept.append(ids[a + i])
+                        words.append(own.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(words, pa.list_(pa.int64()))], names=["item_id", "words"])
+
+
+def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        seeds = [_seeds_of(np.array(w, np.int64).view(np.uint64)) for w in batch.column(1).to_pylist()]
+        repeat = pa.array(np.repeat(np.arange(len(seeds)), [len(x) for x in seeds]))
+        flat = np.concatenate(seeds).view(np.int64) if seeds else np.empty(0, np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(repeat), pa.array(flat)], names=["iid", "seed"])
+
+
+def _filled(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << bits, np.bool_)
+        for batch in batches:
+            for spot in _spots(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits):
+                held[spot] = True
+        blocks = np.packbits(held).reshape(-1, 1 << (BLOCK_BITS - 3))
+        some = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([zlib.compress(blocks[i].tobytes(), 1) for i in some], pa.binary())], names=["block", "bits"])
+
+    return run
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    out: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = np.frombuffer(zlib.decompress(packed), np.uint8)
+            out[k] = out[k] | own if k in out else own
+    yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), pa.array([x.tobytes() for x in out.values()], pa.binary())], names=["block", "bits"])
+
+
+def seed_filter(seeds: DataFrame, count: int) -> tuple[np.ndarray, int]:
+    """A Bloom filter of the seeds, packed, and its size as a power of two."""
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, count) * BITS_PER_SEED))))
+    blocks = seeds.select("seed").mapInArrow(_filled(bits), "block int, bits binary").repartition("block").mapInArrow(_united, "block int, bits binary")
+    out = np.zeros((1 << (bits - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), np.uint8)
+    for row in blocks.toArrow().to_pylist():  # a fixed number of blocks
+        out[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel(), bits
+
+
+def _stretches(packed: np.ndarray, bits: int, least: int):
+    """Of each document with at least so many hits the words under its hits, where they stand, and the distinct hits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                ids, texts = (c.to_pylist() for c in whole.slice(at, ROWS).columns)
+                out: list[list] = [[], [], [], []]
+                for a, b in K.chunks(texts):
+                    words, bounds = K.token_hashes(texts[a:b], symbols=False)
+                    seeds, places = K.run_hashes(words, bounds, SEED)
+                    left = np.arange(len(seeds))
+                    for spot in _spots(seeds, bits):
+                        left = left[(packed[spot[left] >> 3] >> (7 - (spot[left] & 7)).astype(np.uint8)) & 1 == 1]
+                    cuts = np.searchsorted(left, places)
+                    for d in np.flatnonzero(np.diff(cuts) >= least).tolist():
+                        hits = left[cuts[d] : cuts[d + 1]]
+                        under = np.unique((hits - places[d])[:, None] + np.arange(SEED))
+                        own = words[bounds[d] + under]
+                        ends = np.flatnonzero(np.diff(under) > 1) + 1
+                        out[0].append(ids[a + d])
+                        out[1].append(np.insert(own, ends, _BREAK).view(np.int64))
+                        out[2].append(np.insert(under, ends, -1).astype(np.int32))
+                        out[3].append(np.unique(seeds[hits]).view(np.int64))
+                kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["doc_id", "words", "places", "hits"])
+
+    return run
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(n, np.uint64(base)))))
 
 
 def _prefix_hashes(words: np.ndarray) -> np.ndarray:
     """Polynomial hashes of all prefixes, from which that of any run follows."""
-    out = [0]
-    for w in words.tolist():
-        out.append((out[-1] * _BASE + w) & 0xFFFFFFFFFFFFFFFF)
-    return np.array(out, np.uint64)
+    n = len(words)
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(words * _powers(_INVERSE, n)[1:], dtype=np.uint64)))
+    return sums * _powers(_BASE, n)
 
 
 def _windows(prefix: np.ndarray, size: int) -> np.ndarray:
@@ -88,18 +161,24 @@ def _windows(prefix: np.ndarray, size: int) -> np.ndarray:
     return prefix[size:] - prefix[:-size] * power
 
 
-def tiles(doc: np.ndarray, item: np.ndarray, least: int = SEED) -> list[tuple[int, int, int]]:
-    """(start in doc, start in item, words) of the greedy tiling, longest first."""
+def _free(marked: np.ndarray, size: int) -> np.ndarray:
+    """Which windows of a size hold no marked word."""
+    sums = np.concatenate(([0], np.cumsum(marked)))
+    return sums[size:] == sums[:-size] if size < len(sums) else np.zeros(0, bool)
+
+
+def tiles(doc: np.ndarray, item: np.ndarray, least: int = SEED, doc_prefix: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+    """(start in doc, start in item, words) of the greedy tiling, longest first; doc_prefix has the document's prefix hashes if they are known."""
     out: list[tuple[int, int, int]] = []
     n, m = len(doc), len(item)
     if min(n, m) < least:
         return out
     doc_marked, item_marked = np.zeros(n, bool), np.zeros(m, bool)
-    doc_prefix, item_prefix = _prefix_hashes(doc), _prefix_hashes(item)
+    doc_prefix = _prefix_hashes(doc) if doc_prefix is None else doc_prefix
+    item_prefix = _prefix_hashes(item)
     size = max(least, min(n, m))
     while True:
-        free_doc = np.convolve(doc_marked, np.ones(size, int))[size - 1 : n] == 0 if size <= n else np.zeros(0, bool)
-        free_item = np.convolve(item_marked, np.ones(size, int))[size - 1 : m] == 0 if size <= m else np.zeros(0, bool)
+        free_doc, free_item = _free(doc_marked, size), _free(item_marked, size)
         item_windows = _windows(item_prefix, size)
         doc_windows = _windows(doc_prefix, size)
         at_doc = np.flatnonzero(free_doc & np.isin(doc_windows, item_windows[free_item]))
@@ -130,70 +209,70 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int = SEED) -> list[tuple[in
             size = max(least, size // 2)
 
 
-def _tile(index: ItemIndex, coverage: float, long_run: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                ids, texts = (c.to_pylist() for c in whole.slice(at, ROWS).columns)
-                rows: list[tuple] = []
-                for a, b in K.chunks(texts):
-                    words, bounds = K.token_hashes(texts[a:b], symbols=False)
-                    grams, places = K.run_hashes(words, bounds, SEED)
-                    spot = np.searchsorted(index.distinct, grams)
-                    spot[spot == len(index.distinct)] = 0
-                    hit = index.distinct[spot] == grams if len(index.distinct) else np.zeros(len(grams), bool)
-                    hits = np.concatenate(([0], np.cumsum(hit)))
-                    for d in np.flatnonzero(hits[places[1:]] > hits[places[:-1]]).tolist():
-                        own = slice(places[d], places[d + 1])
-                        doc = words[bounds[d] : bounds[d + 1]]
-                        for i in index.candidates(np.unique(grams[own][hit[own]]), coverage, long_run):
-                            item = index.words[index.bounds[i] : index.bounds[i + 1]]
-                            for x, y, k in tiles(doc, item):
-                                rows.append((ids[a + d], int(index.ids[i]), len(item), x, y, k))
-                columns = list(zip(*rows)) if rows else [[]] * 6
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["doc_id", "item_id", "item_words", "doc_start", "item_start", "words"])
+def may_leak(shared: np.ndarray, words: int, coverage: float, long_run: int) -> bool:
+    """Whether the shared seed places of an item, in order, cover enough of its words or make a run that is long enough."""
+    if len(shared) == 0:
+        return False
+    gaps = np.diff(shared)
+    covered = SEED + int(np.minimum(gaps, SEED).sum())
+    breaks = np.flatnonzero(gaps != 1)
+    longest = int(np.diff(np.concatenate(([-1], breaks, [len(shared) - 1]))).max()) + SEED - 1
+    return longest >= long_run or covered >= coverage * words
 
-    return run
 
+def _tile(coverage: float, long_run: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, doc, prefix, seeds = None, np.empty(0, np.uint64), None, np.empty(0, np.uint64)
+        for batch in batches:
+            rows: list[tuple] = []
+            for did, doc_id, words, places, iid, item_id, item in zip(*(c.to_pylist() for c in batch.columns)):
+                if did != last:
+                    last, doc, prefix = did, np.array(words, np.int64).view(np.uint64), None
+                    seeds = np.unique(_seeds_of(doc))
+                item = np.array(item, np.int64).view(np.uint64)
+                if not may_leak(np.flatnonzero(np.isin(_seeds_of(item), seeds)), len(item), coverage, long_run):
+                    continue
+                if prefix is None:
+                    prefix = _prefix_hashes(doc)
+                rows += [(did, doc_id, iid, item_id, len(item), places[x], y, k) for x, y, k in tiles(doc, item, SEED, prefix)]
+            columns = list(zip(*rows)) if rows else [[]] * 8
+            kinds = [pa.int64()] * 4 + [pa.int32()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["did", "doc_id", "iid", "item_id", "item_words", "doc_start", "item_start", "words"])
 
-def item_blocks(items: DataFrame) -> Iterator[ItemIndex]:
-    """Indexes of blocks of items of at most BLOCK_WORDS words (or one longer item), read one after the other."""
-    ids: list[int] = []
-    texts: list[str] = []
-    size = 0
-    for r in items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null").distinct().toLocalIterator():
-        n = r["text"].count(" ") + 1
-        if ids and size + n > BLOCK_WORDS:
-            yield ItemIndex(ids, texts)
-            ids, texts, size = [], [], 0
-        ids.append(r["item_id"])
-        texts.append(r["text"])
-        size += n
-    if ids:
-        yield ItemIndex(ids, texts)
+    return run
 
 
 def leak_tiles(documents: DataFrame, items: DataFrame, coverage: float = COVERAGE, long_run: int = LONG_RUN) -> DataFrame:
-    """(doc_id, item_id, item_words, doc_start, item_start, words): the tiles of the pairs that may be leaks; starts and lengths are in words."""
-    schema = "doc_id long, item_id long, item_words int, doc_start int, item_start int, words int"
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
-    out = documents.sparkSession.createDataFrame([], schema)
-    for index in item_blocks(items):
-        out = out.unionByName(docs.mapInArrow(_tile(index, coverage, long_run), schema))
-    return out
+    """(did, doc_id, iid, item_id, item_words, doc_start, item_start, words): the tiles of the pairs that may be leaks; starts and lengths are in words, did and iid number the rows."""
+    narrow = lambda df, key: df.select(F.col(key).cast("long").alias(key), "text").filter(f"{key} is not null and text is not null")
+    known = scratch(narrow(items, "item_id").mapInArrow(_item_words, "item_id long, words array<long>").distinct().withColumn("iid", F.monotonically_increasing_id()), "leak-items")
+    size = known.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("words") - SEED + 1), F.lit(0)).alias("seeds"), F.coalesce(F.min(F.size("words")), F.lit(0)).alias("least")).first()
+    seeds = scratch(known.select("iid", "words").mapInArrow(_item_seeds, "iid long, seed long"), "leak-seeds")
+    packed, bits = seed_filter(seeds, size["seeds"])
+    least = needed(size["least"], coverage, long_run)
+    found = narrow(documents, "doc_id").mapInArrow(_stretches(packed, bits, least), "doc_id long, words array<long>, places array<int>, hits array<long>")
+    found = scratch(found.withColumn("did", F.monotonically_increasing_id()), "leak-documents")
+    hits = found.select("did", F.explode("hits").alias("seed"))
+    frequent = hits.groupBy("seed").agg(F.count("*").alias("df"))
+    share = F.greatest(F.lit(1), F.least(F.lit(long_run - SEED + 1), F.ceil(F.lit(coverage) * F.size("words") / SEED - F.lit(1e-9))))
+    ranked = seeds.join(frequent, "seed").withColumn("r", F.row_number().over(Window.partitionBy("iid").orderBy(F.desc("df"), "seed")))
+    index = ranked.join(known.select("iid", share.alias("needed")), "iid").filter("r >= needed").select("seed", "iid").distinct()
+    pairs = hits.join(index, "seed").select("did", "iid").distinct()
+    tiled = pairs.join(found.select("did", "doc_id", "words", "places"), "did").join(known.select("iid", "item_id", F.col("words").alias("item")), "iid")
+    schema = "did long, doc_id long, iid long, item_id long, item_words int, doc_start int, item_start int, words int"
+    return tiled.select("did", "doc_id", "words", "places", "iid", "item_id", "item").sortWithinPartitions("did").mapInArrow(_tile(coverage, long_run), schema)
 
 
 def leaks(documents: DataFrame, items: DataFrame, coverage: float = COVERAGE, long_run: int = LONG_RUN) -> DataFrame:
-    """(doc_id, item_id, longest, covered, coverage) of the pairs with a tile of long_run words or enough coverage."""
-    found = leak_tiles(documents, items, coverage, long_run).distinct()
-    return (
-        found.groupBy("doc_id", "item_id")
+    """(doc_id, item_id, longest, covered, coverage) of the pairs with a tile of long_run words or enough coverage; of rows with equal ids the pair that covers most."""
+    pairs = (
+        leak_tiles(documents, items, coverage, long_run)
+        .groupBy("did", "iid", "doc_id", "item_id")
         .agg(F.max("words").alias("longest"), F.sum("words").alias("covered"), F.max("item_words").alias("item_words"))
         .withColumn("coverage", F.col("covered") / F.col("item_words"))
         .filter((F.col("longest") >= long_run) | (F.col("coverage") >= coverage))
-        .select("doc_id", "item_id", "longest", "covered", "coverage")
     )
+    return pairs.groupBy("doc_id", "item_id").agg(F.max("longest").alias("longest"), F.max("covered").alias("covered"), F.max("coverage").alias("coverage"))
 
 
 def long_run_leaks(documents: DataFrame, items: DataFrame, long_run: int = LONG_RUN) -> DataFrame:

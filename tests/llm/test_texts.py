@@ -84,14 +84,31 @@ def test_long_runs_equal_brute_force(spark, seed):
     assert got == {(a, b) for a, t in enumerate(texts) for b, q in enumerate(items) if shared_run(t, q)}
 
 
-def test_blocks_of_items_give_the_same(spark, monkeypatch):
+def test_a_crowded_filter_gives_the_same(spark, monkeypatch):
     items, texts = leak_case(4)
     i = spark.createDataFrame([(k, t, 0) for k, t in enumerate(items)], ITEMS)
     whole = {tuple(x) for x in L.leaks(docs(spark, texts), i).collect()}
-    monkeypatch.setattr(L, "BLOCK_WORDS", 100)
+    monkeypatch.setattr(L, "LEAST_BITS", 16)
+    monkeypatch.setattr(L, "BITS_PER_SEED", 0.01)
+    monkeypatch.setattr(L, "PROBES", 1)
     assert {tuple(x) for x in L.leaks(docs(spark, texts), i).collect()} == whole and whole
 
 
+@pytest.mark.parametrize("seed", [7, 8])
+def test_leaks_equal_the_tiling_of_all_pairs(spark, seed):
+    """Every pair of document and item tiled without any search for candidates."""
+    items, texts = leak_case(seed)
+    h = lambda t: L.K.token_hashes([t or ""], symbols=False)[0]
+    want = set()
+    for a, t in enumerate(texts):
+        for b, q in enumerate(items):
+            found = L.tiles(h(t), h(q))
+            if found and (max(k for *_, k in found) >= L.LONG_RUN or sum(k for *_, k in found) >= L.COVERAGE * len(h(q))):
+                want.add((a, b, max(k for *_, k in found), sum(k for *_, k in found)))
+    got = {(r.doc_id, r.item_id, r.longest, r.covered) for r in L.leaks(docs(spark, texts), spark.createDataFrame([(k, t, 0) for k, t in enumerate(items)], ITEMS)).collect()}
+    assert got == want and len(want) > 10
+
+
 def test_reordered_passages_are_caught_by_coverage(spark):
     w = [f"q{i}" for i in range(60)]
     parts = [w[i : i + 6] for i in range(0, 60, 6)]
