@@ -170,11 +170,12 @@ def near_classes(classes: DataFrame, likeness: float = rtl.LIKENESS) -> DataFram
     """(cid_a, cid_b, likeness) of all pairs of classes with at least that likeness."""
     sketch = frequency_sketch(classes)
     triple_from = max(TRIPLE_FROM, TRIPLE_SHARE * classes.count())
-    postings = classes.select("cid", "n", "text").mapInArrow(_signatures(sketch, triple_from, likeness), "sig long, cid long, n int")
+    signed = lambda df: df.select("cid", "n", "text").mapInArrow(_signatures(sketch, triple_from, likeness), "sig long, cid long, n int")
+    postings = signed(classes)
     a, b = (postings.select("sig", F.col("cid").alias(f"cid_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
     fewer, more = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     candidates = (
-        a.join(b, "sig")
+        K.spread_join(a, b, "sig", "cid_a", signed(classes.filter(K.part_of("cid"))).select("sig"))
         .filter((F.col("cid_a") < F.col("cid_b")) & (fewer >= more * F.lit(likeness)))
         .groupBy("cid_a", "cid_b")
         .agg(F.count("*").alias("shared"), F.first(F.least(F.lit(SHARED), F.ceil(fewer * F.lit(likeness) - F.lit(1e-9)))).alias("wanted"))

@@ -63,6 +63,12 @@ WITH {_LIKE}, s AS (SELECT id, lower(regexp_replace(provenance.split, '^\\s+|\\s
 sides AS (SELECT id, bool_or(split = 'train') AS t, bool_or(split IN ('validation', 'calibration', 'test')) AS h FROM s WHERE split IN ('train', 'validation', 'calibration', 'test') GROUP BY id)
 SELECT id_a, id_b FROM alike JOIN sides a ON a.id = id_a JOIN sides b ON b.id = id_b WHERE a.t AND b.h OR a.h AND b.t
 UNION ALL SELECT id, id FROM sides WHERE t AND h""",
+        "p1_report": f"""
+WITH {_LIKE}, s AS (SELECT DISTINCT id, lower(regexp_replace(provenance.split, '^\\s+|\\s+$', '', 'g')) AS split, coalesce(source, 'unknown') AS source FROM veribugbench_5q WHERE id IS NOT NULL),
+held AS (SELECT * FROM s WHERE split IN ('validation', 'calibration', 'test')), trained AS (SELECT DISTINCT id FROM s WHERE split = 'train'),
+both_ways AS (SELECT id_a AS id, id_b AS other FROM alike UNION SELECT id_b, id_a FROM alike UNION SELECT id, id FROM held),
+n AS (SELECT b.id, count(*) AS n FROM both_ways b JOIN trained t ON t.id = b.other WHERE b.id IN (SELECT id FROM held) GROUP BY b.id)
+SELECT split, source, count(*) AS records, count(n) AS overlapping, coalesce(sum(n), 0)::BIGINT AS pairs FROM held LEFT JOIN n USING (id) GROUP BY split, source""",
         "p7_found": """
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
 q AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM test_items WHERE text IS NOT NULL),

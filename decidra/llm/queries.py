@@ -24,7 +24,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
-    return cross_split.overlap_report(_table(spark, d, "veribugbench_5q"), scratch(p1_found(spark, d), "p1"))
+    return cross_split.overlap_report(*_rtl(spark, d))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -15,7 +15,13 @@ import unicodedata
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from decidra.session import scratch
+
+#: Keys of more rows are joined in blocks of about so many; hot keys are told from one row of PART.
+HOT_ROWS, PART = 1024, 64
 #: Characters laid out at once; longer texts form a batch of their own.
 BATCH_CHARS = 2_000_000
 
@@ -163,3 +169,24 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     both = np.sort(np.concatenate((a, b)), kind="stable")
     shared = int(np.count_nonzero(both[1:] == both[:-1]))
     return shared / (len(a) + len(b) - shared)
+
+
+def part_of(number: str) -> Column:
+    """Whether a row is in the part, 1 of PART by the hash of a number, from which hot keys are told."""
+    return F.pmod(F.xxhash64(number, F.lit(7)), F.lit(PART)) == 0
+
+
+def spread_join(a: DataFrame, b: DataFrame, key: str, spread: str, part: DataFrame) -> DataFrame:
+    """The inner join of a and b on a key, a hot key's rows of a cut by the hash of spread into blocks of about HOT_ROWS rows.
+
+    Which keys are hot is told from part, the keys of the rows of a that part_of
+    chooses; it decides on the plan only, never on results.  A hot key's rows of b
+    go to each of its blocks: 1 / HOT_ROWS of the pairs that the key makes anyhow.
+    """
+    seen = part.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") * PART > HOT_ROWS)
+    blocks = scratch(seen.select(key, F.ceil(F.col("_n") * PART / HOT_ROWS).cast("int").alias("_blocks")), "hot-keys")
+    if blocks.isEmpty():
+        return a.join(b, key)
+    left = a.join(blocks, key, "left").withColumn("_block", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_blocks")), F.lit(0)).cast("int")).drop("_blocks")
+    right = b.join(blocks, key, "left").withColumn("_block", F.explode(F.sequence(F.lit(0), F.coalesce("_blocks", F.lit(1)) - 1))).drop("_blocks")
+    return left.join(right, [key, "_block"]).drop("_block")

@@ -96,10 +96,35 @@ def test_cross_split_equals_brute_force(case):
     want = {(a, b) for a, b in truth(texts) if a in train and b in held or a in held and b in train} | {(k, k) for k in train & held}
     got = {tuple(r) for r in cross_split.cross_split_pairs(records, batches).collect()}
     assert got == want
-    report = cross_split.overlap_report(records, cross_split.cross_split_pairs(records, batches)).collect()
+    report = cross_split.overlap_report(records, batches).collect()
     assert sum(r.records for r in report) == sum(len(s & {"validation", "calibration", "test"}) for s in splits.values())
 
 
+@pytest.mark.parametrize("hot", [None, 1])
+def test_report_by_classes_counts_the_pairs(spark, case, monkeypatch, hot):
+    """Also for ids with several texts, and with every key of the joins cut into blocks."""
+    texts, _, batch_rows, records, _ = case
+    if hot:
+        monkeypatch.setattr(K, "HOT_ROWS", hot)
+        monkeypatch.setattr(K, "PART", 1)
+    r = random.Random(4)
+    more = [(2000 + i, r.choice(list(texts)), r.choice(list(texts.values())), None, None) for i in range(40)]
+    batches = spark.createDataFrame(batch_rows + more, BATCHES)
+    pairs = [tuple(x) for x in cross_split.cross_split_pairs(records, batches).collect()]
+    rows = {(x.id, x.split.strip().lower(), x.source or "unknown") for x in records.select("id", "provenance.split", "source").collect() if x.id and x.split}
+    train = {i for i, s, _ in rows if s == "train"}
+    want = {}
+    for i, s, source in rows:
+        if s in cross_split.HELD_OUT:
+            n = len({b if a == i else a for a, b in pairs if i in (a, b)} & train)
+            got = want.setdefault((s, source), [0, 0, 0])
+            want[s, source] = [got[0] + 1, got[1] + (n > 0), got[2] + n]
+    found = {(x.split, x.source): [x.records, x.overlapping, x.pairs] for x in cross_split.overlap_report(records, batches).collect()}
+    assert found == want and sum(x[2] for x in want.values()) > 20
+    if hot:
+        assert {tuple(x) for x in near_dups.near_duplicate_pairs(records, case[4]).collect()} == truth(texts)
+
+
 def test_empty_tables(spark):
     a, b = spark.createDataFrame([], RECORDS), spark.createDataFrame([], BATCHES)
     assert near_dups.near_duplicate_pairs(a, b).count() == 0
