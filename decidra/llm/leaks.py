@@ -11,8 +11,9 @@ Every document is read and cut into words once, however many items there are.  A
 Bloom filter of the items' seeds, of at most 2**MOST_BITS bits, tells which
 documents may share any; of these only the stretches under such seeds are kept.
 Pairs are found by a join of seeds.  A leaked item shares at least ``needed`` of
-its seed places, so all but its ``needed - 1`` most frequent seeds are joined:
-phrases that a large part of the corpus holds make no pairs.  Items, seeds and
+its seed places; its most frequent half as many are not joined, so phrases that a
+large part of the corpus holds make no pairs, and of the others a pair must share
+the other half.  Items, seeds and
 documents stay in tables; only the filter passes the driver.
 
 Defined results: null and empty texts never match; items of fewer than SEED words
@@ -220,21 +221,36 @@ def may_leak(shared: np.ndarray, words: int, coverage: float, long_run: int) ->
     return longest >= long_run or covered >= coverage * words
 
 
+def _slices(column: pa.Array) -> list[np.ndarray]:
+    """The arrays of a list column, without copies."""
+    values, at = column.values.to_numpy(), column.offsets.to_numpy()
+    return [values[i:j] for i, j in zip(at[:-1], at[1:])]
+
+
 def _tile(coverage: float, long_run: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, doc, prefix, seeds = None, np.empty(0, np.uint64), None, np.empty(0, np.uint64)
         for batch in batches:
             rows: list[tuple] = []
-            for did, doc_id, words, places, iid, item_id, item in zip(*(c.to_pylist() for c in batch.columns)):
-                if did != last:
-                    last, doc, prefix = did, np.array(words, np.int64).view(np.uint64), None
+            of_item: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            did, doc_id, iid, item_id = (batch.column(c).to_pylist() for c in ("did", "doc_id", "iid", "item_id"))
+            words, places, items = (_slices(batch.column(c)) for c in ("words", "places", "item"))
+            for r in range(batch.num_rows):
+                if did[r] != last:
+                    last, doc, prefix = did[r], words[r].view(np.uint64), None
                     seeds = np.unique(_seeds_of(doc))
-                item = np.array(item, np.int64).view(np.uint64)
-                if not may_leak(np.flatnonzero(np.isin(_seeds_of(item), seeds)), len(item), coverage, long_run):
+                if iid[r] not in of_item:
+                    item = items[r].view(np.uint64)
+                    of_item[iid[r]] = item, _seeds_of(item)
+                item, own = of_item[iid[r]]
+                spot = np.searchsorted(seeds, own)
+                spot[spot == len(seeds)] = 0
+                if not len(seeds) or not may_leak(np.flatnonzero(seeds[spot] == own), len(item), coverage, long_run):
                     continue
                 if prefix is None:
+                    doc = doc.copy()
                     prefix = _prefix_hashes(doc)
-                rows += [(did, doc_id, iid, item_id, len(item), places[x], y, k) for x, y, k in tiles(doc, item, SEED, prefix)]
+                rows += [(last, doc_id[r], iid[r], item_id[r], len(item), int(places[r][x]), y, k) for x, y, k in tiles(doc, item, SEED, prefix)]
             columns = list(zip(*rows)) if rows else [[]] * 8
             kinds = [pa.int64()] * 4 + [pa.int32()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["did", "doc_id", "iid", "item_id", "item_words", "doc_start", "item_start", "words"])
@@ -256,9 +272,11 @@ def leak_tiles(documents: DataFrame, items: DataFrame, coverage: float = COVERAG
     frequent = hits.groupBy("seed").agg(F.count("*").alias("df"))
     share = F.greatest(F.lit(1), F.least(F.lit(long_run - SEED + 1), F.ceil(F.lit(coverage) * F.size("words") / SEED - F.lit(1e-9))))
     ranked = seeds.join(frequent, "seed").withColumn("r", F.row_number().over(Window.partitionBy("iid").orderBy(F.desc("df"), "seed")))
-    index = ranked.join(known.select("iid", share.alias("needed")), "iid").filter("r >= needed").select("seed", "iid").distinct()
-    pairs = hits.join(index, "seed").select("did", "iid").distinct()
-    tiled = pairs.join(found.select("did", "doc_id", "words", "places"), "did").join(known.select("iid", "item_id", F.col("words").alias("item")), "iid")
+    # of the needed places half may be among the most frequent ones, which are left out; the other half must be seen
+    index = ranked.join(known.select("iid", share.alias("needed"), F.ceil(share / 2).alias("wanted")), "iid").filter("r > needed - wanted").select("seed", "iid", "wanted")
+    pairs = hits.join(index, "seed").groupBy("did", "iid").agg(F.count("*").alias("n"), F.first("wanted").alias("wanted")).filter("n >= wanted").select("did", "iid")
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, but much work
+    tiled = pairs.repartition(tasks, "did").join(found.select("did", "doc_id", "words", "places"), "did").join(known.select("iid", "item_id", F.col("words").alias("item")), "iid")
     schema = "did long, doc_id long, iid long, item_id long, item_words int, doc_start int, item_start int, words int"
     return tiled.select("did", "doc_id", "words", "places", "iid", "item_id", "item").sortWithinPartitions("did").mapInArrow(_tile(coverage, long_run), schema)
 
