@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from decidra.session import scratch
@@ -58,25 +58,25 @@ class Portion:
 
     @property
     def unreachable(self) -> bool:
-        return self.max_repeats * self.size < self.target
-
-
-def _histogram(sizes: DataFrame, level: int, within: list[tuple[str, int]] | None) -> dict[tuple[str, int], dict[int, float]]:
-    """Sizes by bucket of one level, for each (key, bucket of the level above); 2**BUCKET_BITS entries each at most."""
-    down = (LEVELS - 1 - level) * BUCKET_BITS
-    rows = sizes.withColumn("above", F.shiftright("hash", down + BUCKET_BITS)).withColumn("bucket", F.shiftright("hash", down).bitwiseAND((1 << BUCKET_BITS) - 1))
-    if within is not None:
-        wanted = F.lit(False)
-        by_key = defaultdict(list)
-        for key, above in within:
-            by_key[key].append(above)
-        for key, aboves in by_key.items():
-            wanted = wanted | ((F.col("key") == key) & F.col("above").isin(aboves))
-        rows = rows.filter(wanted)
-    out: dict[tuple[str, int], dict[int, float]] = defaultdict(dict)
-    for r in rows.groupBy("key", "above", "bucket").agg(F.sum("size").alias("size")).collect():
-        out[r["key"], r["above"]][r["bucket"]] = r["size"]
-    return out
+        """Whether all that may be taken was, and is less than the target."""
+        return self.full >= self.max_repeats and self.reached < self.target
+
+
+def _cuts(sizes: DataFrame, level: int, wanted: list[tuple[int, str, int, float]]) -> dict[int, tuple[int, float]]:
+    """For each (row, key, bucket of the level above, rest) the first bucket of this level that passes the rest, and the size of those before it.
+
+    Sizes are summed by bucket before anything else and cumulated in Spark; one
+    row for each of the wanted ones comes back.
+    """
+    spark, down = sizes.sparkSession, (LEVELS - 1 - level) * BUCKET_BITS
+    rows = spark.createDataFrame(wanted, "row int, key string, above long, rest double")
+    within = F.broadcast(rows.select("key", "above").distinct())  # as many as plan rows at most
+    bucketed = sizes.withColumn("above", F.shiftright("hash", down + BUCKET_BITS)).withColumn("bucket", F.shiftright("hash", down).bitwiseAND((1 << BUCKET_BITS) - 1))
+    sums = bucketed.join(within, ["key", "above"], "left_semi").groupBy("key", "above", "bucket").agg(F.sum("size").alias("size"))
+    run = F.sum("size").over(Window.partitionBy("row").orderBy("bucket"))
+    passed = sums.join(F.broadcast(rows), ["key", "above"]).withColumn("run", run).withColumn("over", F.col("run") > F.col("rest"))
+    found = passed.groupBy("row").agg(F.min(F.when(F.col("over"), F.col("bucket"))).alias("cut"), F.coalesce(F.max(F.when(~F.col("over"), F.col("run"))), F.lit(0.0)).alias("taken"))
+    return {r["row"]: (1 << BUCKET_BITS if r["cut"] is None else int(r["cut"]), r["taken"]) for r in found.collect()}
 
 
 def portions(sizes: DataFrame, plans: DataFrame) -> list[Portion]:
@@ -86,8 +86,7 @@ def portions(sizes: DataFrame, plans: DataFrame) -> list[Portion]:
         raise ValueError(f"more than {MOST_PLAN_ROWS} plan rows")
     keys = sorted({r["key"] for r in rows})
     sizes = sizes.filter(F.col("key").isin(keys))
-    first = _histogram(sizes, 0, None)
-    size_of = {k: sum(first.get((k, 0), {}).values()) for k in keys}
+    size_of = dict.fromkeys(keys, 0.0) | {r["key"]: r["size"] for r in sizes.groupBy("key").agg(F.sum("size").alias("size")).collect()}
     named = defaultdict(set)
     for r in rows:
         named[r["plan_id"]].add(r["key"])
@@ -100,18 +99,12 @@ def portions(sizes: DataFrame, plans: DataFrame) -> list[Portion]:
         if size > 0 and full < most:
             rest[len(out) - 1] = target - full * size
     above = dict.fromkeys(rest, 0)
-    found = first
-    for level in range(LEVELS):
-        if level:
-            found = _histogram(sizes, level, sorted({(out[i].key, above[i]) for i in rest})) if rest else {}
+    for level in range(LEVELS if rest else 0):
+        cuts = _cuts(sizes, level, [(i, out[i].key, above[i], rest[i]) for i in rest])
         for i in rest:
-            cut, sums = 0, found.get((out[i].key, above[i]), {})
-            for b in range(1 << BUCKET_BITS):
-                if sums.get(b, 0.0) > rest[i]:
-                    break
-                rest[i] -= sums.get(b, 0.0)
-                out[i].reached += sums.get(b, 0.0)
-                cut = b + 1
+            cut, taken = cuts.get(i, (1 << BUCKET_BITS, 0.0))
+            rest[i] -= taken
+            out[i].reached += taken
             if cut == 1 << BUCKET_BITS and level:  # rounding: the whole boundary bucket fits
                 cut -= 1
             above[i] = (above[i] << BUCKET_BITS) + cut
@@ -141,3 +134,21 @@ def mixture(records: DataFrame, plans: DataFrame) -> DataFrame:
     rows = [(p.plan_id, p.source, p.key, p.full, p.below) for p in portions(sizes, plans)]
     table = records.sparkSession.createDataFrame(rows, "plan_id string, source string, key string, full int, below long")
     return sizes.join(F.broadcast(table), "key").withColumn("copies", F.col("full") + (F.col("hash") < F.col("below")).cast("int")).filter("copies > 0").select("plan_id", "source", "id", "copies")
+
+
+def mixture_checks(records: DataFrame, plans: DataFrame) -> DataFrame:
+    """(check_name, n_bad) of a mixture: records taken too often or of another source, plan rows farther from their target than their largest record though they can reach it, reported sizes that the records don't add up to."""
+    sizes = scratch(record_sizes(records), "sizes")
+    spark = records.sparkSession
+    taken = portions(sizes, plans)
+    told = spark.createDataFrame([(p.plan_id, p.source, p.key, p.max_repeats, p.target, p.reached, p.size, p.unreachable) for p in taken], "plan_id string, source string, key string, max_repeats int, target double, reached double, whole double, unreachable boolean")
+    mixed = scratch(mixture(records, plans), "mixture").join(sizes.select("id", F.col("key").alias("own"), "size"), "id")
+    rows = mixed.join(F.broadcast(told), ["plan_id", "source"])
+    often = rows.filter((F.col("copies") > F.col("max_repeats")) | (F.col("own") != F.col("key"))).agg(F.count("*").alias("n_bad")).select(F.lit("taken too often").alias("check_name"), "n_bad")
+    sums = told.join(rows.groupBy("plan_id", "source").agg(F.sum(F.col("size") * F.col("copies")).alias("real"), F.max("size").alias("step")), ["plan_id", "source"], "left").withColumn("real", F.coalesce("real", F.lit(0.0)))
+    largest = sizes.groupBy("key").agg(F.max("size").alias("largest"))
+    sums = sums.join(largest, "key", "left")
+    far = sums.filter(~F.col("unreachable") & (F.abs(F.col("real") - F.col("target")) > F.coalesce("largest", F.lit(0.0)) + 1e-6)).agg(F.count("*").alias("n_bad")).select(F.lit("target missed").alias("check_name"), "n_bad")
+    odd = sums.filter(F.abs(F.col("real") - F.col("reached")) > 1e-6 * F.greatest(F.lit(1.0), F.col("real"))).agg(F.count("*").alias("n_bad")).select(F.lit("report differs").alias("check_name"), "n_bad")
+    short = sums.filter(F.col("unreachable") & (F.abs(F.col("real") - F.col("max_repeats") * F.col("whole")) > 1e-6 * F.greatest(F.lit(1.0), F.col("real")))).agg(F.count("*").alias("n_bad")).select(F.lit("less than all taken").alias("check_name"), "n_bad")
+    return often.unionByName(far).unionByName(odd).unionByName(short)

@@ -47,6 +47,9 @@ shared AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS s FROM runs a JOIN run
 alike AS (SELECT id_a, id_b FROM shared JOIN sizes x ON x.id = id_a JOIN sizes y ON y.id = id_b WHERE s >= 0.7 * (x.n + y.n - s))
 """
 
+#: What a query of checks must give.
+_ZEROS = "SELECT * FROM (VALUES {}) t(check_name, n_bad)"
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -56,8 +59,21 @@ SELECT ids.id, coalesce(names.name, ids.id) AS group_key FROM ids LEFT JOIN firs
         "p3_incremental": f"""
 WITH RECURSIVE {_LINKS}
 SELECT ids.id, coalesce(names.name, ids.id) AS group_key FROM ids LEFT JOIN first_key USING (id) LEFT JOIN names ON names.node = first_key.k""",
-        "p3_split_checks": "SELECT * FROM (VALUES ('without a split', 0::BIGINT), ('in several splits', 0), ('components parted', 0), ('proportions missed', 0)) t(check_name, n_bad)",
+        "p3_split_checks": _ZEROS.format("('without a split', 0::BIGINT), ('in several splits', 0), ('components parted', 0), ('proportions missed', 0)"),
         "p4_found": f"WITH {_LIKE} SELECT id_a, id_b FROM alike",
+        "p4_groups": f"""
+WITH RECURSIVE {_LIKE},
+cls AS (SELECT id, md5(string_agg(h::VARCHAR, ',' ORDER BY h)) AS c FROM runs GROUP BY id),
+names AS (SELECT c, min(id) AS name, count(*) AS copies FROM cls GROUP BY c),
+lk AS (SELECT DISTINCT a.c AS ca, b.c AS cb FROM alike JOIN cls a ON a.id = id_a JOIN cls b ON b.id = id_b WHERE a.c <> b.c),
+ways AS (SELECT ca, cb FROM lk UNION SELECT cb, ca FROM lk),
+degrees AS (SELECT ca AS c, count(*) AS links FROM ways GROUP BY ca),
+reach AS (SELECT c AS node, c AS root FROM names UNION SELECT ways.cb, reach.root FROM reach JOIN ways ON ways.ca = reach.node),
+groups AS (SELECT root AS c, min(name) AS group_id FROM reach JOIN names ON names.c = reach.node GROUP BY root)
+SELECT id, group_id, copies, coalesce(links, 0) AS links FROM cls JOIN names USING (c) JOIN groups USING (c) LEFT JOIN degrees USING (c)""",
+        "p5_checks": _ZEROS.format("('taken too often', 0::BIGINT), ('target missed', 0), ('report differs', 0), ('less than all taken', 0)"),
+        "p7_checks": _ZEROS.format("('overlapping tiles', 0::BIGINT), ('too little shared', 0), ('long runs apart', 0)"),
+        "p8_checks": _ZEROS.format("('rows lost', 0::BIGINT), ('nulls changed', 0), ('mentions apart', 0), ('rest changed', 0)"),
         "p1_found": f"""
 WITH {_LIKE}, s AS (SELECT id, lower(regexp_replace(provenance.split, '^\\s+|\\s+$', '', 'g')) AS split FROM veribugbench_5q WHERE id IS NOT NULL),
 sides AS (SELECT id, bool_or(split = 'train') AS t, bool_or(split IN ('validation', 'calibration', 'test')) AS h FROM s WHERE split IN ('train', 'validation', 'calibration', 'test') GROUP BY id)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from decidra.llm import components, cross_split, encoding, group_splits, leaks, mixing, near_dups, pii
@@ -82,6 +82,11 @@ def p5_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture(_table(spark, d, "veribugbench_5q"), _table(spark, d, "mix_plans"))
 
 
+def p5_checks(spark: SparkSession, d: str) -> DataFrame:
+    """(check_name, n_bad): whether the mixtures hold what they promise."""
+    return mixing.mixture_checks(_table(spark, d, "veribugbench_5q"), _table(spark, d, "mix_plans"))
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode_corpus(_table(spark, d, "documents"))
 
@@ -108,6 +113,18 @@ def p7_items(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count("*").alias("documents"), F.count_if(F.col("longest") >= leaks.LONG_RUN).alias("long_runs"), F.max("coverage").alias("coverage"))
 
 
+def p7_checks(spark: SparkSession, d: str) -> DataFrame:
+    """(check_name, n_bad) of the leaks: tiles that overlap in their item, pairs without enough, long runs that p7_found lacks."""
+    docs, items = _table(spark, d, "documents"), _table(spark, d, "test_items")
+    tiles = scratch(leaks.leak_tiles(docs, items), "leak-tiles")
+    after = F.lead("item_start").over(Window.partitionBy("did", "iid").orderBy("item_start"))
+    overlap = tiles.withColumn("after", after).filter(F.col("item_start") + F.col("words") > F.col("after")).agg(F.count("*").alias("n_bad")).select(F.lit("overlapping tiles").alias("check_name"), "n_bad")
+    found = scratch(p7_leaks(spark, d), "leaks")
+    weak = found.filter((F.col("longest") < leaks.LONG_RUN) & (F.col("coverage") < leaks.COVERAGE) | (F.col("coverage") > 1)).agg(F.count("*").alias("n_bad")).select(F.lit("too little shared").alias("check_name"), "n_bad")
+    runs = found.filter(F.col("longest") >= leaks.LONG_RUN).select("doc_id", "item_id").join(p7_found(spark, d), ["doc_id", "item_id"], "left_anti").agg(F.count("*").alias("n_bad")).select(F.lit("long runs apart").alias("check_name"), "n_bad")
+    return overlap.unionByName(weak).unionByName(runs)
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return pii.mentions(_table(spark, d, "documents"), _table(spark, d, "person_names")).select("doc_id", "kind", "start_pos").distinct()
 
@@ -116,5 +133,21 @@ def p8_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact(_table(spark, d, "documents"), _table(spark, d, "person_names"))
 
 
+def p8_checks(spark: SparkSession, d: str) -> DataFrame:
+    """(check_name, n_bad) of the redaction: rows lost, nulls changed, and texts whose length is not that of their rest and their placeholders."""
+    docs, names = _table(spark, d, "documents"), _table(spark, d, "person_names")
+    holders = F.create_map(*[F.lit(x) for k, v in pii.PLACEHOLDERS.items() for x in (k, len(v))])
+    moved = pii.mentions(docs, names).groupBy("doc_id").agg(F.sum(holders[F.col("kind")] - (F.col("end_pos") - F.col("start_pos"))).alias("by"), F.count("*").alias("n"))
+    both = docs.select("doc_id", F.col("text").alias("before")).join(pii.redact(docs, names), "doc_id", "left").join(moved, "doc_id", "left")
+    bad = {
+        "rows lost": F.col("n_mentions").isNull(),
+        "nulls changed": F.col("before").isNull() != F.col("text").isNull(),
+        "mentions apart": F.coalesce("n", F.lit(0)) != F.col("n_mentions"),
+        "rest changed": F.length("text") - F.length("before") != F.coalesce("by", F.lit(0)),
+    }
+    wide = both.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in bad.items()])
+    return wide.select(F.explode(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("n_bad")) for n in bad])).alias("r")).select("r.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_splits, p3_incremental, p3_split_checks, p4_found, p4_groups, p5_found, p5_shares, p5_mix, p6_ids, p6_round_trip, p7_found, p7_leaks, p7_items, p8_found, p8_redacted)}
+    return {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_splits, p3_incremental, p3_split_checks, p4_found, p4_groups, p5_found, p5_shares, p5_mix, p5_checks, p6_ids, p6_round_trip, p7_found, p7_leaks, p7_items, p7_checks, p8_found, p8_redacted, p8_checks)}
