@@ -59,7 +59,7 @@ class Portion:
     @property
     def unreachable(self) -> bool:
         """Whether all that may be taken was, and is less than the target."""
-        return self.full >= self.max_repeats and self.reached < self.target
+        return (self.full >= self.max_repeats or self.size == 0) and self.reached < self.target
 
 
 def _cuts(sizes: DataFrame, level: int, wanted: list[tuple[int, str, int, float]]) -> dict[int, tuple[int, float]]:
