@@ -53,5 +53,30 @@ UNION SELECT id, 'review', '', i::VARCHAR FROM rs
 UNION SELECT id, 'finding', i::VARCHAR, (generate_subscripts(r.findings, 1) - 1)::VARCHAR FROM rs"""
 
 
+_TREE = "CASE WHEN json_type({0}) IN ('OBJECT', 'ARRAY') THEN {0} END"
+_PLAIN = "CASE WHEN json_type(v) NOT IN ('OBJECT', 'ARRAY') THEN v ->> '$' END"
+#: Elements (n, id, key, ordinal, v) of the questions or gold, and of a container within each.
+_ELEMENTS = f"""
+WITH d AS (SELECT row_number() OVER () AS n, id, {{part}} AS t FROM veribugbench_5q WHERE id IS NOT NULL),
+es AS (SELECT d.n AS n, d.id AS rid, CASE WHEN json_type(t) = 'OBJECT' THEN e.key ELSE e.value ->> '$.qid' END AS qid, row_number() OVER (PARTITION BY d.n ORDER BY e.id) - 1 AS ordinal, e.value AS v FROM d, json_each({_TREE.format("t")}) e)"""
+_WITHIN = f"""{_ELEMENTS},
+ws AS (SELECT es.rid AS rid, es.qid AS qid, es.n AS n, es.ordinal AS o, v -> '$.{{inside}}' AS c FROM es WHERE qid IS NOT NULL),
+cs AS (SELECT ws.rid AS rid, ws.qid AS qid, CASE WHEN json_type(c) = 'OBJECT' THEN e.key WHEN json_type(e.value) = 'OBJECT' THEN e.value ->> '$.{{key}}' ELSE e.key::VARCHAR END AS k, row_number() OVER (PARTITION BY ws.n, ws.o ORDER BY e.id) - 1 AS ordinal, e.value AS v FROM ws, json_each({_TREE.format("c")}) e)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": CHILDREN_SQL}
+    questions = _ELEMENTS.format(part=decoded_sql("questions"))
+    gold = _ELEMENTS.format(part=decoded_sql("gold"))
+    criteria = _WITHIN.format(part=decoded_sql("questions"), inside="criteria", key="key")
+    probabilities = _WITHIN.format(part=decoded_sql("gold"), inside="probabilities", key="option")
+    return {
+        "p2_found": CHILDREN_SQL,
+        "p2_questions": f"{questions} SELECT DISTINCT rid AS id, qid, ordinal::INT AS ordinal, v ->> '$.type' AS type, v ->> '$.instructions' AS instructions FROM es WHERE qid IS NOT NULL",
+        "p2_criteria": f"{criteria} SELECT DISTINCT rid AS id, qid, k AS criterion, ordinal::INT AS ordinal, coalesce({_PLAIN}, v ->> '$.text') AS text FROM cs WHERE k IS NOT NULL",
+        "p2_gold": f"{gold} SELECT DISTINCT rid AS id, qid, ordinal::INT AS ordinal, v ->> '$.label_source' AS label_source, TRY_CAST(v ->> '$.score' AS DOUBLE) AS score, v ->> '$.label' AS label, TRY_CAST(v ->> '$.confidence' AS DOUBLE) AS confidence, TRY_CAST(v ->> '$.defensible' AS BOOLEAN) AS defensible FROM es WHERE qid IS NOT NULL",
+        "p2_probabilities": f"{probabilities} SELECT DISTINCT rid AS id, qid, k AS option, ordinal::INT AS ordinal, coalesce(TRY_CAST({_PLAIN} AS DOUBLE), TRY_CAST(v ->> '$.p' AS DOUBLE)) AS probability FROM cs WHERE k IS NOT NULL",
+        "p2_trust_flags": "SELECT DISTINCT id, (i - 1)::VARCHAR AS position, (i - 1)::INT AS ordinal, f[i] AS flag FROM (SELECT id, provenance.trust_flags AS f, unnest(range(1, len(provenance.trust_flags) + 1)) AS i FROM veribugbench_5q WHERE id IS NOT NULL)",
+        "p2_reviews": "SELECT DISTINCT id, (i - 1)::VARCHAR AS position, (i - 1)::INT AS ordinal, r[i].reviewer AS reviewer, r[i].verdict AS verdict FROM (SELECT id, provenance.reviews AS r, unnest(range(1, len(provenance.reviews) + 1)) AS i FROM veribugbench_5q WHERE id IS NOT NULL)",
+        "p2_findings": """SELECT DISTINCT id, (i - 1)::VARCHAR AS review, (j - 1)::VARCHAR AS position, (j - 1)::INT AS ordinal, f[j].code AS code, f[j].line AS line FROM (
+  SELECT id, i, r[i].findings AS f, unnest(range(1, len(r[i].findings) + 1)) AS j FROM (SELECT id, provenance.reviews AS r, unnest(range(1, len(provenance.reviews) + 1)) AS i FROM veribugbench_5q WHERE id IS NOT NULL))""",
+    }
