@@ -50,6 +50,12 @@ def bag_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return both.select(key, "line", (F.col("n") - F.coalesce("m", F.lit(0))).alias("n")).filter("n > 0")
 
 
+def same_bags(a: DataFrame, b: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """(key, same): whether a and b, bags of lines, are equal for each of the keys; two empty bags are."""
+    lost = bag_difference(a, b, key).unionByName(bag_difference(b, a, key)).select(key).distinct().withColumn("lost", F.lit(True))
+    return keys.distinct().join(lost, key, "left").select(key, F.col("lost").isNull().alias("same"))
+
+
 def patch_check(patches: DataFrame, key: str, patch: Column, before: Column, after: Column) -> DataFrame:
     """(key, applies, exact): whether all removed lines are in before and all added ones in after, as bags; and whether nothing else changed."""
     base = patches.select(key, patch.alias("p"), before.alias("b"), after.alias("a"))

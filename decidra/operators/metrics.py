@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from decidra.functions import dist
+from decidra.session import scratch
 
 BINS = 15
 #: Options up to which a sum over them is written out, so that it is compiled.
@@ -54,19 +55,47 @@ def grouped_report(obs: DataFrame, groupings: Sequence[str]) -> DataFrame:
     return long.groupBy("g").agg(F.sum("n").alias("n"), (F.sum("correct") / F.sum("n")).alias("accuracy"), mean("soft_accuracy"), mean("brier_score"), mean("kl_divergence"), mean("total_variation"), (F.sum(gap) / F.sum("n")).alias("ece")).select("g.grouping", "g.value", "n", "accuracy", "soft_accuracy", "brier_score", "kl_divergence", "total_variation", "ece")
 
 
-def temperature_grid(heads: DataFrame, by: str, logits: Column, target: Column, low: float = 0.5, high: float = 5.0, step: float = 0.05, least: int = 10) -> DataFrame:
-    """(by, temperature, nll): for each group the grid temperature of the lowest mean cross-entropy, the lower of equals; groups of fewer than least rows get 1."""
-    n = int(round((high - low) / step)) + 1
-    values = [round(low + i * step, 6) for i in range(n)]
-    grid = F.array(*map(F.lit, values))
-    # cross-entropy is log(sum of exp(x / t)) - (target . x) / t with x the logits below their largest
+def _losses(heads: DataFrame, k: int, options: int) -> DataFrame:
+    """(_by, n, t, nll): for each group and each of the k temperatures in _ts, the same in a group, the rows and their mean loss.
+
+    One sum per place, combined before the shuffle; no row is repeated.  Options
+    beyond ``options`` are folded, the others are written out so that they compile.
+    """
+    # cross-entropy is mass * log(sum of exp(x / t)) - (target . x) / t with x the logits below their largest
+    def loss(i: int) -> Column:
+        t = F.get("_ts", F.lit(i))
+        parts = [F.when(F.size("_x") > j, F.exp(F.get("_x", F.lit(j)) / t)).otherwise(F.lit(0.0)) for j in range(options)]
+        while len(parts) > 1:
+            parts = [sum(parts[j : j + 2][1:], parts[j]) for j in range(0, len(parts), 2)]
+        mass = F.when(F.size("_x") <= options, parts[0]).otherwise(dist.total(F.transform("_x", lambda x: F.exp(x / t))))
+        return F.col("_m") * F.log(mass) - F.col("_d") / t
+
+    sums = heads.groupBy("_by").agg(F.count("*").alias("n"), F.first("_ts").alias("ts"), *[F.avg(loss(i)).alias(f"l{i}") for i in range(k)])
+    return sums.select("_by", "n", F.explode(F.array(*[F.struct(F.get("ts", F.lit(i)).alias("t"), F.col(f"l{i}").alias("nll")) for i in range(k)])).alias("x")).select("_by", "n", "x.*")
+
+
+def fitted_temperatures(heads: DataFrame, by: str, logits: Column, target: Column, low: float = 0.5, high: float = 5.0, steps: Sequence[float] = (0.5, 0.05, 0.005), least: int = 10) -> DataFrame:
+    """(by, n, temperature, nll): for each group the temperature of the lowest mean cross-entropy, the lower of equals; groups of fewer than least rows get 1.
+
+    The loss has one valley over the temperatures, so a coarse grid leaves the
+    interval around its best one, which the next step's grid refines.
+    """
     top = F.array_max("_z")
-    heads = heads.select(by, logits.alias("_z"), target.alias("_t")).select(by, F.transform("_z", lambda x: x - top).alias("_x"), dist.dot(F.transform("_z", lambda x: x - top), F.col("_t")).alias("_d"), dist.total(F.col("_t")).alias("_m"))
-    tried = heads.select("*", F.posexplode(grid).alias("i", "t"))
-    unrolled = sum((F.when(F.size("_x") > k, F.exp(F.get("_x", F.lit(k)) / F.col("t"))).otherwise(F.lit(0.0)) for k in range(UNROLLED)), F.lit(0.0))
-    folded = dist.total(F.transform("_x", lambda x: F.exp(x / F.col("t"))))
-    loss = lambda mass: (F.col("_m") * F.log(mass) - F.col("_d") / F.col("t")).alias("loss")
-    few, many = F.size("_x") <= UNROLLED, F.size("_x") > UNROLLED
-    losses = tried.filter(few).select(by, "i", loss(unrolled)).unionByName(tried.filter(many).select(by, "i", loss(folded))).groupBy(by, "i").agg(F.count("*").alias("n"), F.avg("loss").alias("nll"))
-    best = losses.groupBy(by).agg(F.min_by("i", F.struct(F.round("nll", 9), "i")).alias("i"), F.min("nll").alias("nll"), F.max("n").alias("n"))
-    return best.select(by, "n", F.when(F.col("n") < least, F.lit(1.0)).otherwise(F.get(grid, F.col("i"))).alias("temperature"), "nll")
+    rows = heads.select(F.col(by).alias("_by"), logits.alias("_z"), target.alias("_t")).select("_by", F.transform("_z", lambda x: x - top).alias("_x"), dist.dot(F.transform("_z", lambda x: x - top), F.col("_t")).alias("_d"), dist.total(F.col("_t")).alias("_m"))
+    rows = scratch(rows, "heads")
+    options = min(UNROLLED, rows.agg(F.coalesce(F.max(F.size("_x")), F.lit(1)).alias("k")).first()["k"])
+    grid = lambda a, step, k: F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.round(F.least(F.lit(high), F.greatest(F.lit(low), a + i * step)), 6))
+    k = round((high - low) / steps[0]) + 1
+    tried = _losses(rows.withColumn("_ts", grid(F.lit(low), steps[0], k)), k, max(1, options))
+    for wide, step in zip(steps, steps[1:]):
+        best = tried.groupBy("_by").agg(F.min_by("t", F.struct(F.round("nll", 9), "t")).alias("t"))
+        k = round(2 * wide / step) + 1
+        near = best.select(F.col("_by").alias("_of"), grid(F.col("t") - wide, step, k).alias("_ts"))
+        tried = _losses(rows.join(near, F.col("_by").eqNullSafe(F.col("_of"))).drop("_of"), k, max(1, options))
+    found = tried.groupBy("_by").agg(F.max("n").alias("n"), F.min_by("t", F.struct(F.round("nll", 9), "t")).alias("t"), F.min("nll").alias("nll"))
+    return found.select(F.col("_by").alias(by), "n", F.when(F.col("n") < least, F.lit(1.0)).otherwise(F.col("t")).alias("temperature"), "nll")
+
+
+def temperature_grid(heads: DataFrame, by: str, logits: Column, target: Column, step: float = 0.05, least: int = 10) -> DataFrame:
+    """fitted_temperatures to a step of the grid from 0.5 to 5."""
+    return fitted_temperatures(heads, by, logits, target, steps=(0.5, step), least=least)

@@ -77,7 +77,7 @@ def is_prefix(part: Column, whole: Column) -> Column:
 
 def self_answering(rows: DataFrame, key: str, patch: Column, body: Column, least: int = 12) -> DataFrame:
     """(key, line): added lines of a patch, of at least ``least`` characters, that stand in the text which asks for it."""
-    added = F.array_distinct(F.filter(F.transform(tx.patch_lines(patch, "+"), lambda x: F.trim(x)), lambda x: (F.length(x) >= least) & ~x.rlike(r"^(//|/\*|\*|end\b|begin\b)")))
+    added = F.array_distinct(F.filter(F.transform(tx.patch_lines(patch, "+"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: (F.length(x) >= least) & ~x.rlike(r"^(//|/\*|\*|end\b|begin\b)")))
     return rows.select(key, F.explode(added).alias("line"), body.alias("_body")).filter(F.contains("_body", "line")).select(key, "line")
 
 

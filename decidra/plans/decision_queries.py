@@ -113,12 +113,12 @@ def dominant_category(spark, d):
 
 
 @C.add(f"""
-WITH a AS (SELECT user_id, list_sort(list_distinct(list(event_type))) AS active FROM events WHERE user_id IS NOT NULL AND value > 40 GROUP BY user_id)
+WITH a AS (SELECT user_id, list_sort(list_distinct(list(event_type))) AS active FROM events WHERE user_id IS NOT NULL GROUP BY user_id)
 SELECT user_id, t AS event_type, CASE WHEN list_contains(active, t) THEN round(1.0 / len(active), 9) ELSE 0.0 END AS p FROM (SELECT *, unnest({_TYPES}) AS t FROM a)""")
 def uniform_active(spark, d):
-    """For each user the uniform distribution over the event types of their larger values."""
+    """For each user the uniform distribution over the types of their events."""
     keys = F.array(*map(F.lit, EVENT_TYPES))
-    a = table(spark, d, "events").filter("user_id is not null and value > 40").groupBy("user_id").agg(F.collect_set("event_type").alias("active"))
+    a = table(spark, d, "events").filter("user_id is not null").groupBy("user_id").agg(F.collect_set("event_type").alias("active"))
     pairs = F.arrays_zip(keys.alias("event_type"), dist.uniform_over(keys, F.col("active")).alias("p"))
     return a.select("user_id", F.explode(pairs).alias("x")).select("user_id", F.col("x.event_type").alias("event_type"), F.round("x.p", 9).alias("p"))
 

@@ -151,8 +151,24 @@ def batch_report(spark, d):
 
 @C.add("SELECT user_id, event_type, count(*) AS n, round(sum(value), 4) AS value FROM (SELECT DISTINCT event_id, user_id, event_type, value FROM events) GROUP BY user_id, event_type")
 def stream_ledger(spark, d):
-    """Events applied to a ledger as a stream, each once, and the ledger's sums."""
+    """Events applied to a ledger as a stream of several micro-batches, each event sent twice and applied once, and the ledger's sums."""
+    from decidra.session import scratch_path
     from decidra.streaming import ledger
 
-    events = ledger.replay(spark, f"{d}/events.parquet", key="event_id")
+    sent, path = table(spark, d, "events"), scratch_path(spark, "sent")
+    sent.unionByName(sent).repartition(6).write.parquet(path)
+    events = ledger.replay(spark, path, key="event_id", files_per_batch=2)
     return events.groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("value"))
+
+
+@C.add("SELECT id, floor((row_number() OVER (ORDER BY id) - 1) / 3)::INT AS batch FROM (SELECT DISTINCT id FROM batch_06_mux_4_1 WHERE id IS NOT NULL ORDER BY id LIMIT 6)")
+def ordered_deliveries(spark, d):
+    """Two deliveries that a ledger takes because each is exactly the next batch of three (a top-k by definition)."""
+    from decidra.session import scratch_path
+    from decidra.streaming import ledger
+
+    b, home = table(spark, d, "batch_06_mux_4_1").select("id").filter("id is not null").distinct(), scratch_path(spark, "ledger")
+    for number in range(2):
+        ids = ledger.next_batch(b, ledger.read(spark, home), "id", 3)
+        ledger.apply_in_order(spark.createDataFrame([(i, number) for i in ids], "id string, number int"), number, home, "id", b, 3)
+    return ledger.read(spark, home).select("id", F.col("number").alias("batch"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from decidra.functions import dist
 from decidra.functions import text as tx
-from decidra.operators import excerpts, quality
+from decidra.operators import excerpts, fingerprints, quality
 from decidra.operators import records as R
 from decidra.plans.base import Catalogue, decoded_sql, table
 from decidra.plans.decision_queries import _PROBS
@@ -157,6 +157,6 @@ def excerpt_windows(spark, d):
 
 @C.add()
 def file_fingerprints(spark, d):
-    """Hash and size of the files of two tables, by name."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load([f"{d}/projects.parquet", f"{d}/mix_plans.parquet"])
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+    """Hash and size of the files of all tables, by name."""
+    files = fingerprints.file_digests(spark, d, "*.parquet")
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "sha256", "bytes")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from decidra.plans import decision_queries, event_queries, judgment_queries, nested_queries, quality_queries, rule_queries, source_queries, split_queries, text_queries
+from decidra.plans import adapter_queries, decision_queries, event_queries, judgment_queries, nested_queries, quality_queries, replay_queries, rule_queries, source_queries, split_queries, text_queries
 from decidra.plans.base import Query
 
-_CATALOGUES = (split_queries.C, decision_queries.C, text_queries.C, event_queries.C, source_queries.C, quality_queries.C, rule_queries.C, judgment_queries.C)
+_CATALOGUES = (split_queries.C, decision_queries.C, text_queries.C, event_queries.C, source_queries.C, quality_queries.C, rule_queries.C, judgment_queries.C, replay_queries.C, adapter_queries.C)
 
 
 def queries() -> dict[str, Query]:

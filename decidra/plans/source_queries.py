@@ -32,39 +32,108 @@ def text_id_scan(spark, d):
 @C.add("SELECT substr(sha1(coalesce(text, '')), 1, 16) AS h, count(*) AS n FROM test_items GROUP BY 1")
 def adapter_records(spark, d):
     """Held-out items as decision records, by the hash in their id."""
-    items = table(spark, d, "test_items").select(F.col("text").alias("instruction"))
-    return adapters.instructions(items).select(F.substring("id", 8, 16).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    items = table(spark, d, "test_items").select(F.col("item_id").alias("line"), F.col("text").alias("instruction"))
+    return adapters.instructions(items).select(F.substring("source_group", 8, 16).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
 
 
 @C.add("""
-WITH a AS (SELECT id, row_no, project, 0 AS r FROM batch_06_mux_4_1 WHERE batch_index = 0 AND id IS NOT NULL UNION ALL SELECT id, row_no, project, 1 AS r FROM batch_06_mux_4_1 WHERE batch_index <> 0 AND id IS NOT NULL)
+WITH a AS (SELECT id, row_no, 0 AS r FROM batch_06_mux_4_1 WHERE batch_index = 0 AND id IS NOT NULL UNION ALL SELECT id, row_no, 1 AS r FROM batch_06_mux_4_1 WHERE batch_index <> 0 AND id IS NOT NULL)
 SELECT id, min(r) AS source_rank FROM a GROUP BY id""")
 def file_precedence(spark, d):
-    """Ids by the first of two sources that has them."""
-    b = table(spark, d, "batch_06_mux_4_1").select("id", "row_no", "project", "batch_index")
-    first = b.filter("batch_index = 0").withColumn("source_rank", F.lit(0))
-    rest = b.filter("batch_index <> 0").withColumn("source_rank", F.lit(1))
-    return readers.first_by_precedence([first, rest], "id").select("id", "source_rank")
+    """Ids by the first of two files of JSON lines that has them."""
+    b = table(spark, d, "batch_06_mux_4_1").select("id", "row_no", "batch_index")
+    root, found = scratch_path(spark, "files"), []
+    for rank, part in enumerate((b.filter("batch_index = 0"), b.filter("batch_index <> 0"))):
+        part.drop("batch_index").write.option("ignoreNullFields", "false").json(f"{root}/{rank}")
+        found.append(readers.read_jsonl(spark, f"{root}/{rank}", b.drop("batch_index").schema)[0].withColumn("source_rank", F.lit(rank)))
+    return readers.first_by_precedence(found, "id").select("id", "source_rank")
 
 
 @C.add("""
-SELECT CASE WHEN side = 'l' THEN 'missing' ELSE 'extra' END AS check_name, count(*) AS n_bad FROM (
-  SELECT DISTINCT project_id, 'l' AS side FROM projects WHERE project_id NOT IN (SELECT provenance.project_id FROM veribugbench_5q WHERE provenance.project_id IS NOT NULL)
-  UNION ALL SELECT DISTINCT provenance.project_id, 'r' FROM veribugbench_5q WHERE provenance.project_id IS NOT NULL AND provenance.project_id NOT IN (SELECT project_id FROM projects WHERE project_id IS NOT NULL)) GROUP BY 1
-UNION ALL SELECT 'repeated', count(*) FROM (SELECT provenance.project_id FROM veribugbench_5q GROUP BY 1 HAVING count(*) > 1) HAVING count(*) > 0""")
+SELECT check_name, n_bad FROM (SELECT 'missing' AS check_name, (SELECT count(DISTINCT id) FROM veribugbench_5q WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM batch_06_mux_4_1 WHERE id IS NOT NULL)) AS n_bad
+UNION ALL SELECT 'extra', (SELECT count(DISTINCT id) FROM batch_06_mux_4_1 WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM veribugbench_5q WHERE id IS NOT NULL))
+UNION ALL SELECT 'repeated', (SELECT count(*) FROM (SELECT id FROM batch_06_mux_4_1 GROUP BY id HAVING count(*) > 1))) WHERE n_bad > 0""")
 def shard_coverage(spark, d):
-    """Projects that records lack, name beyond the list, or name repeatedly."""
-    named = table(spark, d, "veribugbench_5q").select(F.col("provenance.project_id").alias("project_id"))
-    return readers.shard_coverage(named, table(spark, d, "projects"), "project_id")
+    """What shards of JSON lines, one for each batch, lack of the records' ids, have beyond them, or have repeatedly."""
+    path = scratch_path(spark, "shards")
+    table(spark, d, "batch_06_mux_4_1").select("id", "row_no", F.coalesce("batch_index", F.lit(-1)).alias("part")).write.partitionBy("part").option("ignoreNullFields", "false").json(path)
+    shards = readers.read_shards(spark, path, table(spark, d, "batch_06_mux_4_1").select("id", "row_no").schema)
+    return readers.shard_coverage(shards, table(spark, d, "veribugbench_5q"), "id")
+
+
+@C.add("SELECT source_group, count(*) AS n, count(testbench) AS benches FROM projects GROUP BY source_group")
+def wrapped_json(spark, d):
+    """Projects as the array of one JSON document, read back."""
+    p = table(spark, d, "projects").select("project_id", "source_group", "testbench")
+    path = scratch_path(spark, "wrapped")
+    # one document by definition: the table of projects is small
+    p.agg(F.to_json(F.struct(F.collect_list(F.struct(*p.columns)).alias("cases"))).alias("value")).coalesce(1).write.text(path)
+    return readers.read_wrapped(spark, path, "cases", p.schema).groupBy("source_group").agg(F.count("*").alias("n"), F.count("testbench").alias("benches"))
+
+
+@C.add("SELECT kind, plan_id, source, round(target_share, 9) AS target_share FROM (SELECT 'all' AS kind, * FROM mix_plans UNION ALL SELECT 'repeated', * FROM mix_plans WHERE max_repeats > 1)")
+def tagged_csv(spark, d):
+    """Plans in two CSV files, each row tagged with its file's kind."""
+    m, root = table(spark, d, "mix_plans"), scratch_path(spark, "csv")
+    parts = {"all": m, "repeated": m.filter("max_repeats > 1")}
+    for kind, df in parts.items():
+        df.write.option("header", True).option("escape", '"').csv(f"{root}/{kind}")
+    return readers.read_tagged_csv(spark, {k: f"{root}/{k}" for k in parts}, m.schema).select("kind", "plan_id", "source", F.round("target_share", 9).alias("target_share"))
+
+
+@C.add("SELECT project_id, replace(testbench, chr(13) || chr(10), chr(10)) || chr(10) || chr(10) || chr(10) || '// end of ' || project_id || chr(10) AS text FROM projects WHERE project_id IS NOT NULL AND testbench IS NOT NULL")
+def text_tree(spark, d):
+    """Testbenches and closing notes as files in a folder for each project, read as texts and joined by folder."""
+    p, root = table(spark, d, "projects").filter("project_id is not null and testbench is not null").select("project_id", F.replace("testbench", F.lit("\r\n"), F.lit("\n")).alias("value")), scratch_path(spark, "tree")
+    p.write.partitionBy("project_id").text(f"{root}/a")
+    p.select("project_id", F.concat(F.lit("// end of "), "project_id").alias("value")).write.partitionBy("project_id").text(f"{root}/b")
+    files = readers.read_text_tree(spark, root, "part-*").withColumn("project_id", F.regexp_extract("path", "project_id=([^/]*)/", 1))
+    return readers.joined_siblings(files.select(F.concat("project_id", F.lit("/"), F.regexp_extract("path", "/([ab])/project_id", 1)).alias("path"), "text")).select(F.col("folder").alias("project_id"), "text")
+
+
+@C.add("SELECT kind, count(*) AS n, count(DISTINCT v) AS distinct_values FROM (SELECT 'run' AS kind, plan_id AS v FROM mix_plans UNION ALL SELECT 'train', source FROM mix_plans UNION ALL SELECT 'run', plan_id FROM mix_plans) GROUP BY kind")
+def append_log(spark, d):
+    """A log that three appends write, read by its types."""
+    m, path = table(spark, d, "mix_plans"), scratch_path(spark, "log")
+    for kind, column in (("run", "plan_id"), ("train", "source"), ("run", "plan_id")):
+        sinks.append_log(m.select(F.lit(kind).alias("type"), F.col(column).alias("v")), path)
+    return spark.read.schema("type string, v string").json(path).groupBy(F.col("type").alias("kind")).agg(F.count("*").alias("n"), F.count_distinct("v").alias("distinct_values"))
+
+
+@C.add("SELECT row_no, id, n FROM batch_06_mux_4_1 LEFT JOIN (SELECT id, count(*) AS n FROM veribugbench_5q WHERE id IS NOT NULL GROUP BY id) USING (id)")
+def rebuilt_order(spark, d):
+    """Judged rows in the order of their numbers, with what a ledger has of their ids."""
+    from decidra.streaming import ledger
+
+    led = table(spark, d, "veribugbench_5q").filter("id is not null").groupBy("id").agg(F.count("*").alias("n"))
+    return ledger.rebuilt(table(spark, d, "batch_06_mux_4_1").select("row_no", "id"), led, "id", ["n"], "row_no").select("row_no", "id", "n")
+
+
+@C.add("SELECT kind, n FROM (SELECT 'refused' AS kind, 1::BIGINT AS n)")
+def overwrite_refused(spark, d):
+    """A second write to the path of a sink is refused."""
+    from pyspark.errors import AnalysisException
+
+    m, path = table(spark, d, "region").select("r_regionkey", "r_name"), scratch_path(spark, "once")
+    sinks.write_jsonl(m, path, "r_regionkey")
+    try:
+        sinks.write_jsonl(m, path, "r_regionkey")
+        kind = "written twice"
+    except AnalysisException:
+        kind = "refused"
+    return spark.range(1).select(F.lit(kind).alias("kind"), F.lit(1).cast("long").alias("n"))
 
 
 @C.add("SELECT split, count(*) AS n, count(DISTINCT id) AS ids FROM (SELECT id, coalesce(lower(trim(provenance.split)), 'none') AS split FROM veribugbench_5q) GROUP BY split")
 def partitioned_sink(spark, d):
-    """Records written in a folder per split and counted from there."""
+    """Records written in a folder per split and all together, and counted from both."""
     v = table(spark, d, "veribugbench_5q").select("id", F.coalesce(F.lower(F.trim("provenance.split")), F.lit("none")).alias("split"))
     path = scratch_path(spark, "splits")
-    sinks.write_by(v, path, "split")
-    return spark.read.parquet(path).groupBy("split").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
+    sinks.write_by(v, f"{path}/split", "split")
+    v.write.parquet(f"{path}/all")
+    apart = spark.read.parquet(f"{path}/split").groupBy("split").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
+    whole = spark.read.parquet(f"{path}/all").groupBy("split").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
+    return apart.intersect(whole)  # a split that differs between the two is missing
 
 
 @C.add(f"""

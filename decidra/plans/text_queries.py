@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from decidra.functions import text as tx
-from decidra.operators import leakage, lineage, redaction
+from decidra.operators import leakage, lineage, quality, redaction
 from decidra.plans.base import Catalogue, table
 from decidra.session import scratch
 
@@ -248,3 +248,28 @@ def declared_modules(spark, d):
 def top_modules(spark, d):
     """Modules that are declared and not instantiated, by id and name."""
     return table(spark, d, "batch_06_mux_4_1").filter("buggy_rtl is not null").select("id", F.explode(tx.top_modules(F.col("buggy_rtl"))).alias("module")).distinct()
+
+
+_PAIRED = "SELECT id, arg_min(buggy_rtl, row_no) AS b, arg_max(buggy_rtl, row_no) AS a, min(row_no) % 2 = 1 AS odd FROM batch_06_mux_4_1 WHERE id IS NOT NULL AND length(buggy_rtl) > 0 GROUP BY id"
+
+
+@C.add(f"SELECT id, TRUE AS applies, NOT odd AS exact FROM ({_PAIRED})")
+def patch_verification(spark, d):
+    """Patches from the first to the last design of an id, those of odd rows with a line of the result left out: all apply, the whole ones are exact."""
+    b = table(spark, d, "batch_06_mux_4_1").filter("id is not null and length(buggy_rtl) > 0")
+    p = b.groupBy("id").agg(F.min_by("buggy_rtl", "row_no").alias("b"), F.max_by("buggy_rtl", "row_no").alias("a"), (F.min("row_no") % 2 == 1).alias("odd"))
+    minus = F.transform(tx.lines(F.col("b")), lambda x: F.concat(F.lit("-"), x))
+    plus = F.transform(tx.lines(F.col("a")), lambda x: F.concat(F.lit("+"), x))
+    plus = F.when(F.col("odd"), F.slice(plus, 2, F.size(plus))).otherwise(plus)
+    return leakage.patch_check(p, "id", F.array_join(F.concat(minus, plus), "\n"), F.col("b"), F.col("a"))
+
+
+@C.add(f"""
+WITH p AS ({_PAIRED}), l AS (SELECT id, b, unnest({_STRIPPED.format("a", 11)}) AS line FROM p)
+SELECT id, count(*) AS lines FROM l WHERE NOT regexp_matches(line, '^(//|/\\*|\\*|end\\b|begin\\b)') AND contains(b, line) GROUP BY id""")
+def self_answering(spark, d):
+    """Designs whose last version's lines, as the added ones of a patch, stand in the first that asks for it, and how many."""
+    b = table(spark, d, "batch_06_mux_4_1").filter("id is not null and length(buggy_rtl) > 0")
+    p = b.groupBy("id").agg(F.min_by("buggy_rtl", "row_no").alias("b"), F.max_by("buggy_rtl", "row_no").alias("a"))
+    plus = F.array_join(F.transform(tx.lines(F.col("a")), lambda x: F.concat(F.lit("+"), x)), "\n")
+    return quality.self_answering(p, "id", plus, F.col("b")).groupBy("id").agg(F.count("*").alias("lines"))

@@ -77,11 +77,10 @@ def test_problems(spark):
     assert one(spark, dist.problems(F.lit(None).cast("array<double>"), 1e-3)) == ["missing"]
 
 
-def test_schedule():
-    assert schedule.steps_per_epoch(17, 4, 2) == 3
-    assert schedule.total_steps(17, 4, 2, 4) == 12 and schedule.total_steps(17, 4, 2, 4, 5) == 5
-    with pytest.raises(ValueError):
-        schedule.steps_per_epoch(0, 4, 2)
+def test_training_steps(spark):
+    runs = spark.createDataFrame([(17, 4, 2, 4, 0), (17, 4, 2, 4, 5), (0, 4, 2, 1, 0), (None, 4, 2, 1, 0), (1, 8, 8, 3, 0)], "examples long, micro_batch int, accumulate int, epochs int, cap int")
+    got = [tuple(r) for r in schedule.training_steps(runs).select("micro_batches", "updates", "steps").collect()]
+    assert got == [(5, 3, 12), (5, 3, 5), (None, None, None), (None, None, None), (1, 1, 3)]
 
 
 def test_warmup_cosine(spark):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from decidra.operators import records
 from decidra.sources import adapters, readers, sinks
 from decidra.streaming import ledger
 
@@ -81,16 +82,62 @@ def test_sinks(spark, tmp_path, rows):
 
 
 def test_adapters(spark):
-    hwe = spark.createDataFrame([(1, "o", "r", "Reset is wrong", "body", ["hw/dv/t.sv", "rtl/a.sv"])], "id int, org string, repo string, title string, body string, modified_files array<string>")
-    r = adapters.issues(hwe).first()
+    hwe = spark.createDataFrame([(1, "o/r", None, "Reset is wrong", "body", None, ["hw/dv/t.sv", "rtl/a.sv"], None, "diff"), (2, None, None, None, None, None, None, None, None)], "id int, repo string, base_commit string, title string, body string, level2 string, modified_files array<string>, reproducer_signal string, test_patch string")
+    r, bare = adapters.issues(hwe).orderBy("id").collect()
     gold = json.loads(r.gold)
     assert r.id == "hwe:1" and gold["next_action"]["probabilities"]["testbench"] == 0.5 and gold["root_cause_type"]["probabilities"]["reset_initialization"] == 1
-    mutants = spark.createDataFrame([("r", "m", "width", "sim_ok", None, "log"), ("r", "m2", "x", "failed", None, "")], "repo string, module string, bug_type string, simulation_status string, files array<string>, log string")
-    assert [json.loads(x.gold)["next_action"]["probabilities"]["abstain"] for x in adapters.simulated_mutants(mutants).collect()] == [1]
-    assert adapters.instructions(spark.createDataFrame([("do it",), (None,)], "instruction string")).count() == 2
-    assert adapters.bug_fixtures(spark.createDataFrame([("1", "v", "type error", "d", "e")], "bug_id string, language string, bug_type string, description string, error string")).first().id == "rootcause:v:1"
-    tree = spark.createDataFrame([("x/g/a.sv", "t")], "path string, text string")
-    assert adapters.assertion_tree(tree).first().source_group == "sva:g" and adapters.prompt_tree(tree).first().source_group == "chip:g"
+    assert gold["evidence_sufficient"]["probabilities"] == {"false": 0, "true": 1} and r.outcome.modified_files == ["hw/dv/t.sv", "rtl/a.sv"] and r.provenance.quality == "gold"
+    assert json.loads(r.state)["previous_actions"] == [] and json.loads(bare.gold)["next_action"]["probabilities"]["abstain"] == 1 and json.loads(bare.gold)["evidence_sufficient"]["probabilities"]["false"] == 1
+    mutants = spark.createDataFrame([("r", "m", "width", "sim_ok", None, "log"), ("r", "m2", "x", "failed", None, "")], "repo string, module string, bug_type string, simulation_status string, rtl string, log string")
+    assert [x.id for x in adapters.simulated_mutants(mutants).collect()] == ["rtl-augmented:r:m:width"]
+    asked = adapters.instructions(spark.createDataFrame([(0, "fix the syntax"), (1, None)], "line int, instruction string")).collect()
+    assert [json.loads(x.gold)["evidence_sufficient"]["probabilities"]["true"] for x in asked] == [1, 0]
+    assert adapters.bug_fixtures(spark.createDataFrame([("runtime", " 1 ", "v", "type error", "d", "e", "m")], "kind string, bug_id string, language string, bug_type string, description string, error string, rtl string")).first().id == "rootcause:runtime:1"
+    tree = spark.createDataFrame([("buggy_rtl", "x/g/a.sv", "t", "a handshake")], "variant string, path string, text string, notes string")
+    made = adapters.assertion_tree(tree).first()
+    assert made.source_group == "hiersva:g:a" and made.provenance.synthetic and json.loads(made.gold)["root_cause_type"]["probabilities"]["timing_protocol"] == 1
+    assert adapters.prompt_tree(spark.createDataFrame([("d/fsm/p1_prompt.txt", "t")], "path string, text string")).first().id == "chipbench:fsm:p1"
+
+
+def test_questions(spark):
+    five = adapters.question_table(spark)
+    assert [r.qid for r in adapters.question_table(spark, scores=False).collect()] == ["next_action", "root_cause_type", "evidence_sufficient"]
+    q = json.loads(adapters.questions_json(five))
+    assert {k: v["type"] for k, v in q.items()} == records.QUESTION_TYPES and q["risk"]["criteria"] == ["0", "1", "2", "3"] and len(q["next_action"]["criteria"]) == 9
+
+
+def test_ledger_guards(spark, tmp_path, rows):
+    home = str(tmp_path / "ledger")
+    todo = spark.createDataFrame([(k,) for k in "abcde"] + [(None,)], "id string")
+    ledger.apply_in_order(spark.createDataFrame([("a",), ("b",)], "id string"), 0, home, "id", todo, 2)
+    for wrong in (["d", "c", "e"], ["a", "b"], ["d", "e"]):
+        with pytest.raises(ledger.LedgerError):
+            ledger.apply_in_order(spark.createDataFrame([(k,) for k in wrong], "id string"), 1, home, "id", todo, 2)
+    ledger.apply_in_order(spark.createDataFrame([("d",), ("c",)], "id string"), 1, home, "id", todo, 2)
+    assert rows(ledger.read(spark, home)) == [("a",), ("b",), ("c",), ("d",)] and ledger.next_batch(todo, ledger.read(spark, home), "id", 2) == ["e"]
+    (tmp_path / "ledger" / ".tmp_1").mkdir()
+    ledger.lock(spark, home)
+    assert not (tmp_path / "ledger" / ".tmp_1").exists()
+    with pytest.raises(ledger.LedgerError):
+        ledger.lock(spark, home)
+    ledger.unlock(spark, home)
+    ledger.lock(spark, home)
+    ledger.check_resume(spark, home, {"data": "1", "model": "m", "epochs": "2"})
+    ledger.check_resume(spark, home, {"data": "1", "model": "m", "epochs": "3"}, may_change=("epochs",))
+    with pytest.raises(ledger.LedgerError, match="data: saved '1', now '2'"):
+        ledger.check_resume(spark, home, {"data": "2", "model": "m", "epochs": "2"})
+    steps = spark.createDataFrame([(k, k == 23) for k in range(24)], "step int, last boolean")
+    assert [r.step for r in ledger.periodic(steps, "step", 10, "last").collect()] == [0, 10, 20, 23]
+
+
+def test_empty_batches_and_reruns(spark, tmp_path, rows):
+    home, one = str(tmp_path / "l"), spark.createDataFrame([("a", 1)], S)
+    assert ledger.read(spark, home) is None
+    ledger.apply_once(one, 0, home, "id")
+    ledger.apply_once(one, 1, home, "id")  # brings nothing new
+    ledger.apply_once(spark.createDataFrame([("b", 2)], S), 2, home, "id")
+    ledger.apply_once(spark.createDataFrame([("b", 3)], S), 2, home, "id")  # the same batch again
+    assert rows(ledger.read(spark, home), "id", "n") == [("a", 1), ("b", 3)]
 
 
 def test_ledger_applies_once_and_resumes(spark, tmp_path, rows):
