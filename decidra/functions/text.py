@@ -141,7 +141,8 @@ def hunk_ranges(patch: Column) -> Column:
 
 
 def top_modules(rtl: Column) -> Column:
-    """Declared modules that no declaration's text instantiates."""
+    """Declared modules that no declaration's text instantiates, in their order; if all are, the last declared one."""
     declared = module_names(rtl)
     used = F.regexp_extract_all(rtl, F.lit(r"(?m)^[ \t]*([A-Za-z_][A-Za-z0-9_]*)[ \t]+(?:#[ \t]*\([^;]*?\)[ \t]*)?[A-Za-z_][A-Za-z0-9_]*[ \t]*\("), F.lit(1))
-    return F.array_except(declared, F.filter(used, lambda x: x != "module"))
+    roots = F.array_except(declared, F.filter(used, lambda x: x != "module"))
+    return F.when(F.size(roots) > 0, roots).otherwise(F.array_compact(F.array(F.try_element_at(declared, F.lit(-1)))))

@@ -263,7 +263,8 @@ def child_rows(flat: DataFrame) -> DataFrame:
     delivered more than once go through a distinct; the others are exploded
     where they are.
     """
-    flat = scratch(flat.select("id", "digest", "rows"), "flat")
+    keys = F.array_distinct(F.transform("rows", lambda r: F.struct(r["node"].alias("node"), r["parent_key"].alias("parent_key"), r["item_key"].alias("item_key"))))
+    flat = scratch(flat.select("id", "digest", keys.alias("rows")), "flat")
     repeated = flat.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id")
     once = flat.join(repeated, "id", "left_anti")
     more = flat.join(repeated, "id", "left_semi").dropDuplicates(["id", "digest"])

@@ -16,7 +16,7 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return nested.child_rows(nested.flatten_decisions(_records(spark, d), values=False))
+    return nested.child_rows(nested.flatten_decisions(_records(spark, d)))
 
 
 def _node(node: str, columns: dict[str, str], parent: str | None, item: str) -> Callable[[SparkSession, str], DataFrame]:

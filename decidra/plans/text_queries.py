@@ -232,6 +232,47 @@ def fault_diff(spark, d):
     return ordered.select("id_a", "id_b", F.round("likeness", 9).alias("likeness"), redaction.token_diff(F.col("x"), F.col("y")).alias("d")).select("id_a", "id_b", "likeness", "d.*")
 
 
+_DECLARED = "regexp_extract_all(buggy_rtl, '(?m)^[ \\t]*module[ \\t]+([A-Za-z_][A-Za-z0-9_]*)', 1)"
+
+
+@C.add("SELECT * FROM (VALUES ('tokens apart', 0::BIGINT), ('no edit', 0), ('flag wrong', 0)) t(check_name, n_bad)")
+def fault_diff_checks(spark, d):
+    """What is wrong with the differences of designs: token counts that removed and added tokens don't explain, pairs without any hunk, wrong flags."""
+    b = table(spark, d, "batch_06_mux_4_1").filter("id is not null and buggy_rtl is not null").groupBy("id").agg(F.min_by("buggy_rtl", "row_no").alias("text"))
+    count = lambda t: F.size(F.regexp_extract_all(t, F.lit(redaction.TOKEN), F.lit(0)))
+    n = b.select("id", count(tx.without_comments(F.col("text"))).alias("n"))
+    diff = fault_diff(spark, d).join(n.select(F.col("id").alias("id_a"), F.col("n").alias("n_a")), "id_a").join(n.select(F.col("id").alias("id_b"), F.col("n").alias("n_b")), "id_b")
+    words = lambda c: F.when(F.length(c) > 0, F.size(F.split(c, " "))).otherwise(0)
+    bad = {
+        "tokens apart": (F.col("formatting") == 0) & (F.col("n_a") - words("removed") + words("added") != F.col("n_b")),
+        "no edit": F.col("n_edits") + F.col("formatting") == 0,
+        "flag wrong": F.col("localised") != (F.col("n_edits") == 1),
+    }
+    wide = diff.agg(*[F.count_if(c).alias(k) for k, c in bad.items()])
+    return wide.select(F.explode(F.array(*[F.struct(F.lit(k).alias("check_name"), F.col(k).alias("n_bad")) for k in bad])).alias("r")).select("r.*")
+
+
+_KEYS = f"""
+o AS (SELECT id, arg_min(buggy_rtl, row_no) AS buggy_rtl, arg_min(source_group, row_no) AS source_group FROM batch_06_mux_4_1 WHERE id IS NOT NULL AND buggy_rtl IS NOT NULL GROUP BY id),
+k AS (SELECT id, 'h' || sha256(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(buggy_rtl, ''), '//[^\\n]*', '', 'g'), '/\\*.*?\\*/', '', 'gs'), '[0-9]+', 'N', 'g'), '\\s+', ' ', 'g')) AS b FROM o
+  UNION SELECT id, 'm' || m FROM (SELECT id, unnest({_DECLARED}) AS m FROM o) UNION SELECT id, 'g' || lower(trim(source_group)) FROM o WHERE source_group IS NOT NULL)"""
+
+
+@C.add(f"""
+WITH RECURSIVE {_KEYS},
+f AS (SELECT b, min(id) AS u FROM k GROUP BY b), e AS (SELECT DISTINCT f.u AS u, k.id AS v FROM k JOIN f USING (b)), g AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
+r AS (SELECT id AS node, id AS root FROM o UNION SELECT g.v, r.root FROM r JOIN g ON g.u = r.node)
+SELECT node AS id, min(root) AS family FROM r GROUP BY node""")
+def design_families(spark, d):
+    """Designs linked by three keys, each by stars to the smallest member: equal harness but for numbers, a module's name, the group they come from."""
+    b = table(spark, d, "batch_06_mux_4_1").filter("id is not null and buggy_rtl is not null")
+    o = b.groupBy("id").agg(F.min_by("buggy_rtl", "row_no").alias("rtl"), F.min_by("source_group", "row_no").alias("g"))
+    o = scratch(o, "designs")
+    edges = lineage.star_edges(o, "id", F.sha2(tx.harness_key(F.col("rtl")), 256))
+    edges = edges.unionByName(lineage.star_edges(o.select("id", F.explode(tx.module_names(F.col("rtl"))).alias("m")), "id", F.col("m"))).unionByName(lineage.star_edges(o, "id", F.lower(F.trim("g"))))
+    return lineage.components(o.select(F.col("id").alias("node")), edges).select(F.col("node").alias("id"), F.col("root").alias("family"))
+
+
 @C.add()
 def comment_redaction(spark, d):
     """Words of tool-made banners replaced inside comments of the RTL."""
@@ -244,9 +285,15 @@ def declared_modules(spark, d):
     return table(spark, d, "batch_06_mux_4_1").filter("buggy_rtl is not null").select("id", F.size(tx.module_names(F.col("buggy_rtl"))).cast("long").alias("declared"))
 
 
-@C.add()
+_USED = "regexp_extract_all(buggy_rtl, '(?m)^[ \\t]*([A-Za-z_][A-Za-z0-9_]*)[ \\t]+(?:#[ \\t]*\\([^;]*?\\)[ \\t]*)?[A-Za-z_][A-Za-z0-9_]*[ \\t]*\\(', 1)"
+
+
+@C.add(f"""
+WITH m AS (SELECT id, {_DECLARED} AS ds, list_filter({_USED}, lambda x: x <> 'module') AS us FROM batch_06_mux_4_1 WHERE buggy_rtl IS NOT NULL),
+r AS (SELECT id, ds, list_filter(ds, lambda x: NOT list_contains(us, x)) AS roots FROM m)
+SELECT DISTINCT id, unnest(CASE WHEN len(roots) > 0 THEN roots ELSE list_slice(ds, -1, -1) END) AS module FROM r""")
 def top_modules(spark, d):
-    """Modules that are declared and not instantiated, by id and name."""
+    """Modules that are declared and not instantiated, by id and name; the last declared one where all are."""
     return table(spark, d, "batch_06_mux_4_1").filter("buggy_rtl is not null").select("id", F.explode(tx.top_modules(F.col("buggy_rtl"))).alias("module")).distinct()
 
 
