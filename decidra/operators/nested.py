@@ -128,7 +128,12 @@ def triples(text: str, again: Sequence[tuple[str, ...]] = (), base: tuple = ())
 
 
 def matches(pattern: Sequence[str], path: tuple) -> bool:
-    return len(pattern) == len(path) and all(p == "*" or p == s for p, s in zip(pattern, path))
+    if len(pattern) != len(path):
+        return False
+    for p, s in zip(pattern, path):
+        if p != "*" and p != s:
+            return False
+    return True
 
 
 @dataclass(frozen=True)
@@ -217,7 +222,7 @@ def _flat(parts: Sequence[str], specs: Sequence[NodeSpec], values: bool):
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 columns = [batch.column(p).to_pylist() for p in parts]
-                starts, digests = [0], []
+                starts, digests, repeats = [0], [], []
                 node, parent, item, ordinal = [], [], [], []
                 maps = [0]
                 names, contents = [], []
@@ -235,7 +240,9 @@ def _flat(parts: Sequence[str], specs: Sequence[NodeSpec], values: bool):
                             contents.extend(e.values())
                             maps.append(len(names))
                     starts.append(len(node))
-                    digests.append(int.from_bytes(hashlib.blake2b(repr(sorted(r[:3] for r in rows)).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True))
+                    keys = {"\x1f".join(r[:3]) for r in rows}
+                    digests.append(int.from_bytes(hashlib.blake2b("\x1e".join(sorted(keys)).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True))
+                    repeats.append(len(keys) < len(rows))
                 fields = [text(node), text(parent), text(item)]
                 labels = ["node", "parent_key", "item_key"]
                 if values:
@@ -243,15 +250,15 @@ def _flat(parts: Sequence[str], specs: Sequence[NodeSpec], values: bool):
                     fields += [pa.array(ordinal, pa.int32()), pa.MapArray.from_arrays(pa.array(maps, pa.int32()), text(names), text(filled))]
                     labels += ["ordinal", "cols"]
                 rows_array = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.StructArray.from_arrays(fields, labels))
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(digests, pa.int64()), rows_array], names=["id", "digest", "rows"])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(digests, pa.int64()), pa.array(repeats, pa.bool_()), rows_array], names=["id", "digest", "repeats", "rows"])
 
     return run
 
 
 def flatten(df: DataFrame, key: Column, parts: dict[str, Column], specs: Sequence[NodeSpec], values: bool = True) -> DataFrame:
-    """(id, digest, rows) per record: rows are the child rows of all nodes, with their columns if values are asked for."""
+    """(id, digest, repeats, rows) per record: rows are the child rows of all nodes, with their columns if values are asked for; digest is that of their distinct keys, repeats whether a key comes again."""
     extra = ", ordinal: int, cols: map<string,string>" if values else ""
-    schema = f"id string, digest long, rows array<struct<node: string, parent_key: string, item_key: string{extra}>>"
+    schema = f"id string, digest long, repeats boolean, rows array<struct<node: string, parent_key: string, item_key: string{extra}>>"
     narrow = df.select(key.cast("string").alias("id"), *[c.alias(p) for p, c in parts.items()]).filter("id is not null")
     return narrow.mapInArrow(_flat(list(parts), list(specs), values), schema)
 
@@ -259,15 +266,14 @@ def flatten(df: DataFrame, key: Column, parts: dict[str, Column], specs: Sequenc
 def child_rows(flat: DataFrame) -> DataFrame:
     """The distinct (id, node, parent_key, item_key).
 
-    Within a record the rows are distinct already, so only ids that were
-    delivered more than once go through a distinct; the others are exploded
-    where they are.
+    Only records that hold a key more than once, and ids that were delivered more
+    than once, go through a distinct; the others are exploded where they are.
     """
-    keys = F.array_distinct(F.transform("rows", lambda r: F.struct(r["node"].alias("node"), r["parent_key"].alias("parent_key"), r["item_key"].alias("item_key"))))
-    flat = scratch(flat.select("id", "digest", keys.alias("rows")), "flat")
-    repeated = flat.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id")
-    once = flat.join(repeated, "id", "left_anti")
-    more = flat.join(repeated, "id", "left_semi").dropDuplicates(["id", "digest"])
+    keys = F.transform("rows", lambda r: F.struct(r["node"].alias("node"), r["parent_key"].alias("parent_key"), r["item_key"].alias("item_key")))
+    flat = scratch(flat.select("id", "digest", "repeats", keys.alias("rows")), "flat")
+    again = flat.groupBy("id").agg(F.count("*").alias("n"), F.bool_or("repeats").alias("repeats")).filter("n > 1 or repeats").select("id")
+    once = flat.join(again, "id", "left_anti")
+    more = flat.join(again, "id", "left_semi").dropDuplicates(["id", "digest"])
     return once.select("id", F.inline("rows")).unionByName(more.select("id", F.inline("rows")).distinct())
 
 
