@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,3 +100,16 @@ def fitted_temperatures(heads: DataFrame, by: str, logits: Column, target: Colum
 def temperature_grid(heads: DataFrame, by: str, logits: Column, target: Column, step: float = 0.05, least: int = 10) -> DataFrame:
     """fitted_temperatures to a step of the grid from 0.5 to 5."""
     return fitted_temperatures(heads, by, logits, target, steps=(0.5, step), least=least)
+
+
+def predicted(df: DataFrame, schema: str, model: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
+    """df through a model outside of the engine, batch by batch: a function from the rows of a batch to as many rows of the schema."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = model(batch)
+            if len(out) != len(batch):
+                raise ValueError(f"{len(batch)} rows went in, {len(out)} came out")
+            yield out
+
+    return df.mapInPandas(run, schema)

@@ -93,29 +93,58 @@ def greedy_chunks(df: DataFrame, by: str, order: str, size: str, most_size: int,
     return df.repartition(by).sortWithinPartitions(by, order).mapInArrow(fold, StructType([*schema.fields, StructField("chunk", IntegerType())]))
 
 
+def running(df: DataFrame, by: Sequence[str], order: Sequence[str], values: dict[str, Column], least: bool = False) -> DataFrame:
+    """df with running sums (or minima, with least) of values in the order of each group, the row itself included; and, as name_before, without it, null for the first row.
+
+    A large group spreads over tasks: rows are range-partitioned by group and order,
+    each part runs on its own, and the parts' results, one row for each group and
+    part, give what comes before.
+    """
+    from decidra.session import scratch
+
+    fold, names = (F.min if least else F.sum), list(values)
+    placed = df.withColumns({f"_v_{n}": v for n, v in values.items()}).repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).withColumn("_pid", F.spark_partition_id())
+    own = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    past = own.rowsBetween(Window.unboundedPreceding, -1)
+    placed = scratch(placed.withColumns({f"_r_{n}": fold(f"_v_{n}").over(own) for n in names} | {f"_e_{n}": fold(f"_v_{n}").over(past) for n in names}), "running")
+    parts = placed.groupBy(*by, "_pid").agg(*[fold(f"_v_{n}").alias(f"_p_{n}") for n in names])
+    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(F.col("_pid").alias("_q"), *[F.col(c).alias(f"_b_{c}") for c in by], *[fold(f"_p_{n}").over(before).alias(f"_o_{n}") for n in names])
+    same = F.col("_pid") == F.col("_q")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
+    both = placed.join(offsets, same)
+    put = lambda r, o: F.least(r, o) if least else F.coalesce(F.col(r) + F.col(o), r, o)
+    return both.select(*df.columns, *[put(f"_r_{n}", f"_o_{n}").alias(n) for n in names], *[put(f"_e_{n}", f"_o_{n}").alias(f"{n}_before") for n in names])
+
+
 def prefix_budget(df: DataFrame, by: Sequence[str], order: Sequence[str], size: str, budget: int) -> DataFrame:
-    """df with taken: what each row gets of a budget that its group spends in order."""
-    before = F.coalesce(F.sum(size).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.withColumn("taken", F.least(F.coalesce(F.col(size), F.lit(0)), F.greatest(F.lit(0), F.lit(budget) - before)))
+    """df with taken: what each row gets of a budget that its group spends in order; null sizes take nothing."""
+    want = F.coalesce(F.col(size), F.lit(0))
+    left = F.lit(budget) - F.coalesce("_upto_before", F.lit(0))
+    return running(df, by, order, {"_upto": want}).withColumn("taken", F.least(want, F.greatest(F.lit(0), left))).drop("_upto", "_upto_before")
 
 
 def reserved_budget(df: DataFrame, by: Sequence[str], order: Sequence[str], size: str, budget: int, reserve: int, cap: int) -> DataFrame:
     """df with taken: rows spend a group's budget in order, at most cap each, but leave reserve (or less if they need less) to every row after them.
 
-    As later rows' reserves are known beforehand, what a row may take follows from
-    running values; a row takes min(size, cap, what is left beyond the reserves),
-    folded over the group in order.
+    After row i at most budget - (reserves after i) is spent, so what is spent after
+    row i is its running want, less the most by which any row up to it would have
+    passed that.  Both follow from running values.
     """
-    w = Window.partitionBy(*by).orderBy(*order)
     s = F.coalesce(F.col(size), F.lit(0))
-    later = F.coalesce(F.sum(F.least(s, F.lit(reserve))).over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(0))
-    rows = df.withColumn("_want", F.least(s, F.lit(cap))).withColumn("_later", later)
-    # before row i at most min over j <= i of (budget - later_j + wants after j) is spent: spent_i = min(spent_(i-1) + want_i, budget - later_i)
-    run = F.sum("_want").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("_run", run)
-    slack = F.least(F.lit(0), F.min(F.lit(budget) - F.col("_later") - F.col("_run")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("_spent", F.col("_run") + slack)
-    return rows.withColumn("taken", F.greatest(F.lit(0), F.col("_spent") - F.coalesce(F.lag("_spent").over(w), F.lit(0)))).drop("_want", "_later", "_run", "_spent")
+    kept = F.least(s, F.lit(reserve))
+    same = lambda c: F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+    totals = df.groupBy(*[F.col(c).alias(f"_t_{c}") for c in by]).agg(F.sum(kept).alias("_all"))
+    on = same(by[0])
+    for c in by[1:]:
+        on = on & same(c)
+    rows = running(df, by, order, {"_run": F.least(s, F.lit(cap)), "_kept": kept}).join(totals, on).drop(*[f"_t_{c}" for c in by])
+    slack = F.lit(budget) - (F.col("_all") - F.col("_kept")) - F.col("_run")
+    rows = running(rows.withColumn("_slack", slack), by, order, {"_low": F.col("_slack")}, least=True)
+    spent = lambda run, low: F.coalesce(run, F.lit(0)) + F.least(F.lit(0), low)
+    taken = spent(F.col("_run"), F.col("_low")) - spent(F.col("_run_before"), F.coalesce("_low_before", F.lit(0)))
+    return rows.withColumn("taken", F.greatest(F.lit(0), taken)).drop("_run", "_kept", "_all", "_slack", "_low", "_run_before", "_kept_before", "_low_before")
 
 
 def length_batches(df: DataFrame, key: str, length: str, seed: int, batch: int, pools: int) -> DataFrame:

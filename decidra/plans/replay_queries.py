@@ -245,3 +245,33 @@ def commit_columns(spark, d):
     from decidra.sources import readers
 
     return readers.commit_list(table(spark, d, "projects"), "project_id", ["source_group", "upstream_repo"]).withColumnRenamed("repository", "project_id")
+
+
+@C.add("""
+WITH l AS (SELECT DISTINCT id, sign, line FROM (SELECT id, '-' AS sign, unnest(string_split(replace(b, chr(13), ''), chr(10))) AS line FROM p UNION ALL SELECT id, '+', unnest(string_split(replace(a, chr(13), ''), chr(10))) FROM p))
+SELECT sign, count(*) AS n, count(DISTINCT line) AS distinct_lines FROM l GROUP BY sign""".replace("WITH l", "WITH p AS (SELECT id, arg_min(buggy_rtl, row_no) AS b, arg_max(buggy_rtl, row_no) AS a FROM batch_06_mux_4_1 WHERE id IS NOT NULL AND length(buggy_rtl) > 0 GROUP BY id), l"))
+def diff_table(spark, d):
+    """Patches that take out the first design of an id and put in the last, as a table of signed lines."""
+    from decidra.sources import readers
+
+    b = table(spark, d, "batch_06_mux_4_1").filter("id is not null and length(buggy_rtl) > 0")
+    p = b.groupBy("id").agg(F.replace(F.min_by("buggy_rtl", "row_no"), F.lit("\r"), F.lit("")).alias("b"), F.replace(F.max_by("buggy_rtl", "row_no"), F.lit("\r"), F.lit("")).alias("a"))
+    signed = lambda c, sign: F.transform(F.split(c, "\n"), lambda x: F.concat(F.lit(sign), x))
+    lines = readers.diff_lines(p, F.concat(F.array_join(F.concat(signed(F.col("b"), "-"), signed(F.col("a"), "+")), "\n")), "id")
+    return lines.select("id", "sign", "line").distinct().groupBy("sign").agg(F.count("*").alias("n"), F.count_distinct("line").alias("distinct_lines"))
+
+
+@C.add("SELECT event_id, round(ln(1 + value), 6) AS score FROM events WHERE value IS NOT NULL AND value >= 0")
+def predicted_scores(spark, d):
+    """Events through a model outside of the engine, in Arrow batches."""
+    import numpy as np
+
+    e = table(spark, d, "events").filter("value is not null and value >= 0").select("event_id", "value")
+    return metrics.predicted(e, "event_id long, score double", lambda b: b.assign(score=np.log1p(b["value"]).round(6))[["event_id", "score"]])
+
+
+@C.add("SELECT count(*) AS n FROM (SELECT DISTINCT id FROM veribugbench_5q WHERE id IS NOT NULL AND provenance.source_instance_id IS NOT NULL AND contains(state, provenance.source_instance_id))")
+def leaked_instances(spark, d):
+    """Records whose state names the instance that they were made from."""
+    v = table(spark, d, "veribugbench_5q").filter("id is not null and provenance.source_instance_id is not null")
+    return v.filter(F.contains("state", "provenance.source_instance_id")).select("id").distinct().agg(F.count("*").alias("n"))

@@ -101,11 +101,53 @@ def commit_list(df: DataFrame, repository: str, columns: Sequence[str]) -> DataF
     return df.select(F.col(repository).alias("repository"), F.explode(F.array(*columns)).alias("sha")).filter("repository is not null and sha is not null and sha <> ''").distinct()
 
 
+def blobs(files: DataFrame, repository: Column, commit: Column) -> DataFrame:
+    """(repo, commit, path, text): files of commits as a table, one row for each; repeated rows once."""
+    return files.select(repository.alias("repo"), commit.alias("commit"), "path", "text").distinct()
+
+
+def diff_lines(diffs: DataFrame, patch: Column, *keys: str) -> DataFrame:
+    """(keys, at, sign, line): added and removed lines of unified diffs in their order, from 0; file headers are left out, null patches have none."""
+    from decidra.functions import text as tx
+
+    rows = diffs.select(*keys, F.posexplode(F.filter(tx.lines(patch), lambda x: x.rlike(r"^[+-]") & ~x.rlike(r"^(\+\+\+|---)"))).alias("at", "l"))
+    return rows.select(*keys, "at", F.left("l", F.lit(1)).alias("sign"), F.substring("l", 2, 1_000_000_000).alias("line"))
+
+
 def read_manifest(text: str | None) -> dict[str, str]:
-    """Top-level ``key: value`` lines of a manifest; anything else, and a manifest that can't be read, is ignored."""
-    out = {}
+    """``key: value`` lines of a manifest; members of a nested mapping have their keys joined by dots, list items their number.
+
+    Anything else is ignored, and so is a manifest that can't be read; quotes
+    around a value and comments after it are taken off.
+    """
+    out: dict[str, str] = {}
+    open_keys: list[tuple[int, str, int]] = []  # indent, key, items so far
     for line in (text or "").splitlines():
-        key, colon, value = line.partition(":")
-        if colon and key and not key[0].isspace() and key[0] not in "#-":
-            out[key.strip()] = value.strip().strip("'\"")
+        body = line.strip()
+        if not body or body[0] == "#" or body == "---":
+            continue
+        indent = len(line) - len(line.lstrip(" "))
+        while open_keys and open_keys[-1][0] >= indent + (body[0] == "-"):
+            open_keys.pop()
+        if body.startswith("- ") and open_keys:
+            at, key, n = open_keys[-1]
+            open_keys[-1] = (at, key, n + 1)
+            out[".".join([*(k for _, k, _ in open_keys), str(n)])] = _scalar(body[2:])
+            continue
+        key, colon, value = body.partition(":")
+        if indent and not open_keys:  # below a value: no mapping
+            continue
+        if not colon or not key or key[0] == "-" or value and not value[0].isspace():
+            continue
+        if value.strip() and not value.strip().startswith("#"):
+            out[".".join([*(k for _, k, _ in open_keys), key.strip()])] = _scalar(value)
+        else:
+            open_keys.append((indent, key.strip(), 0))
     return out
+
+
+def _scalar(value: str) -> str:
+    v = value.strip()
+    if v[:1] in ("'", '"') and v.find(v[0], 1) > 0:
+        return v[1 : v.find(v[0], 1)]
+    return v.split(" #", 1)[0].strip()

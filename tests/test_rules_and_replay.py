@@ -132,3 +132,33 @@ def test_fitted_temperatures_find_the_valley(spark):
     df = spark.createDataFrame(data, "k string, z array<double>, t array<double>")
     got = {x.k: x.temperature for x in metrics.fitted_temperatures(df, "k", F.col("z"), F.col("t")).collect()}
     assert got == pytest.approx({"a": 2.0, "b": 0.8, None: 3.0, "few": 1.0}, abs=0.006)
+
+
+def test_budgets_equal_a_loop_whatever_the_parts(spark):
+    import random
+
+    from decidra.operators import windows
+
+    r = random.Random(3)
+    data = [(r.choice(["a", "a", "a", "b", None]), i, r.choice([None, 0, r.randint(1, 90)])) for i in range(200)]
+    df = spark.createDataFrame(data, "g string, i int, n long")
+    plain = {x.i: x.taken for x in windows.prefix_budget(df, ["g"], ["i"], "n", 700).collect()}
+    kept = {x.i: x.taken for x in windows.reserved_budget(df, ["g"], ["i"], "n", 1500, 5, 40).collect()}
+    for g in ("a", "b", None):
+        rows = [(i, n or 0) for k, i, n in data if k == g]
+        left, spent = 700, 0
+        for at, (i, n) in enumerate(rows):
+            assert plain[i] == min(n, max(0, left))
+            left -= n
+            later = sum(min(m, 5) for _, m in rows[at + 1 :])
+            own = max(0, min(n, 40, 1500 - spent - later))
+            assert kept[i] == own
+            spent += own
+
+
+def test_manifests_with_nested_members():
+    from decidra.sources import readers
+
+    text = "name: 'a: b' # note\nlist:\n  - x\n  - \"y z\"\nouter:\n  inner:\n    k: 1\n  m: 2\n# c\nlast: v\nurl: http://x\nbad line\n"
+    assert readers.read_manifest(text) == {"name": "a: b", "list.0": "x", "list.1": "y z", "outer.inner.k": "1", "outer.m": "2", "last": "v", "url": "http://x"}
+    assert readers.read_manifest(None) == {} and readers.read_manifest("\x00\n:::") == {}
