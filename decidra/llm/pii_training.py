@@ -14,7 +14,7 @@ import random
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-#: Frames: N name, E email, P phone, I identity number, A address, each in braces; lower-case slots are fillers that are no mentions: w identifier, e eponym, t titled phrase, c organisation, d number, s digit, l long number, h and k hexadecimal, r dotted number, v version, o ordinary capitalised words, u a word in lower case.
+#: Frames: N name, E email, P phone, I identity number, A address, each in braces; lower-case slots are fillers that are no mentions: w identifier, e eponym, t titled phrase, c organisation, d number, s digit, l long number, h and k hexadecimal, r dotted number, v version, o ordinary capitalised words, u a word in lower case, x an unknown noun after an article or a preposition.
 FRAMES = (
     # letters and mail
     "Dear {N},",
@@ -228,6 +228,11 @@ FRAMES = (
     "Fragte {N} gestern?",
     # no mentions
     "The {o} {u} the {u}.",
+    "Die {x} in {w} {u}.",
+    "Der {x} {u}; das {x} {u}.",
+    "La {x} {u}, el {x} {u}.",
+    "Ohne {x} {u} {u}.",
+    "The {x} {u} a {x}.",
     "{o} {u} {u}.",
     "Both {t} and {t} {u} the {u}.",
     "a {e} {u} at {t}",
@@ -359,11 +364,11 @@ class Fillers:
         f = r.choice(self.family) if r.random() < 0.5 else self._unlisted(self.family, [2, 3])
         if r.random() < 0.06:
             f += "-" + r.choice(self.family)
-        if r.random() < 0.05:
+        if r.random() < 0.08:
             f += " " + (r.choice(self.family) if r.random() < 0.6 else self._unlisted(self.family, [2, 3]))
-        if r.random() < 0.04:
+        if r.random() < 0.08:
             g += r.choice([" ", "-"]) + (r.choice(self.given) if r.random() < 0.7 else self._unlisted(self.given, [1, 2]))
-        if r.random() < 0.02:
+        if r.random() < 0.04:
             g += " " + r.choice(self.given) + " " + r.choice(self.given)
         form = r.random()
         if form < 0.12:
@@ -399,7 +404,7 @@ class Fillers:
     def identity(self) -> str:
         r, d = self.r, self._d
         up = lambda n: "".join(r.choice("ABCDEHLQTXYZ") for _ in range(n))
-        return r.choice([lambda: f"{d(3)}-{d(2)}-{d(4)}", lambda: f"{d(3)} {d(2)} {d(4)}", lambda: f"{up(2)} {d(2)} {d(2)} {d(2)} {up(1)}", lambda: f"{up(2)}{d(7)}", lambda: f"{up(1)}{d(8)}", lambda: f"{up(1)}{d(2)}{up(1)}{d(5)}", lambda: f"{d(8)}{up(1)}", lambda: f"{r.choice('12')} {d(2)} {d(2)} {d(2)} {d(3)} {d(3)} {d(2)}", lambda: f"{d(8)}-{up(1)}", lambda: f"{d(3)}{d(2)}{d(4)}", lambda: f"{r.choice('12')}{d(14)}", lambda: d(r.randint(10, 22))])()
+        return r.choice([lambda: f"{d(3)}-{d(2)}-{d(4)}", lambda: f"{d(3)} {d(2)} {d(4)}", lambda: f"{up(2)} {d(2)} {d(2)} {d(2)} {up(1)}", lambda: f"{up(2)}{d(7)}", lambda: f"{up(1)}{d(8)}", lambda: f"{up(1)}{d(2)}{up(1)}{d(5)}", lambda: f"{d(8)}{up(1)}", lambda: f"{r.choice('12')} {d(2)} {d(2)} {d(2)} {d(3)} {d(3)} {d(2)}", lambda: f"{d(8)}-{up(1)}", lambda: f"{d(3)}{d(2)}{d(4)}", lambda: f"{r.choice('12')}{d(14)}", lambda: d(r.randint(13, 22)) if r.random() < 0.4 else f"{up(2)}{d(7)}"])()
 
     def address(self) -> str:
         r, d = self.r, self._d
@@ -437,6 +442,8 @@ class Fillers:
             return str(r.randint(1, 9))
         if slot == "l":
             return d(r.choice([6, 8, 9, 9, 10, 10, 11, 13, 16, 19]))
+        if slot == "x":
+            return self._syllables(r.choice([2, 3, 4])).capitalize()
         if slot == "u":
             return r.choice(_LOWER)
         if slot == "r":
