@@ -98,7 +98,11 @@ def without_lines(text: Column, boilerplate: str) -> Column:
     return F.array_join(F.filter(lines(text), lambda x: ~x.rlike("(?i)" + boilerplate)), "\n")
 
 
-def failure_signature(text: Column, telling: str = "error|unknown module|missing|fail|fatal|mismatch") -> Column:
+#: Fixed value: what makes a line of a log telling.
+TELLING = "error|unknown module|missing|fail|fatal|mismatch"
+
+
+def failure_signature(text: Column, telling: str = TELLING) -> Column:
     """Sorted distinct telling lines with source files as <src>, digits as N, blanks collapsed, lower case: how a run failed, whatever the numbers."""
     hit = F.filter(lines(text), lambda x: x.rlike("(?i)" + telling))
     norm = F.transform(hit, lambda x: F.lower(F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(x, r"[A-Za-z0-9_./]+\.(svh|sv|vh|v)\b", "<src>"), "[0-9]+", "N"), r"\s+", " "))))

@@ -66,7 +66,11 @@ def with_reserve(totals: Column, categories: Sequence[str], reserve: Column, kee
     return F.when(mass > 0, spread).otherwise(F.array(*[F.lit(float(i == at)) for i in range(len(categories))]))
 
 
-def reserve_of(totals: Column, confirmed: Column, low: float = 0.30, medium: float = 0.15, high: float = 0.05, strong: float = 4.0, fair: float = 3.0) -> Column:
+#: Reserves where the evidence is weak, fair and strong, and the totals from which it is fair and strong.
+LOW, MEDIUM, HIGH, FAIR, STRONG = 0.30, 0.15, 0.05, 3.0, 4.0
+
+
+def reserve_of(totals: Column, confirmed: Column, low: float = LOW, medium: float = MEDIUM, high: float = HIGH, strong: float = STRONG, fair: float = FAIR) -> Column:
     """How much to keep back: little where one category stands out strongly, more where the largest total is small; at least medium where the evidence is not confirmed."""
     top = F.array_max(totals)
     rivals = F.size(F.filter(totals, lambda x: (x > 0) & (x >= top * 0.5)))

@@ -23,6 +23,15 @@ QUESTIONS = (
 )
 LEVELS = ("0", "1", "2", "3")
 BASE = 3
+#: The licence that a record states, by its source; any other is to be audited.
+LICENCES = {
+    "hwe-bench": "Apache-2.0 metadata; upstream repositories retained",
+    "RootCause-Bench": "Apache-2.0 repository; fixture audit required",
+    "OriGen": "GPL-3.0 dataset metadata",
+    "RTL-augmented": "MIT",
+    "HierSVA": "Solderpad Hardware License 2.1 plus BaseJump provenance",
+    "Inspect-Eval-ChipBench": "MIT harness; benchmark artifact audit required",
+}
 
 
 def question_table(spark: SparkSession, scores: bool = True) -> DataFrame:
@@ -44,7 +53,7 @@ def _weights(keys: Sequence[str], p: Column) -> Column:
     return F.map_from_arrays(F.array(*map(F.lit, keys)), p)
 
 
-def decision_record(df: DataFrame, *, record_id: Column, source: str, group: Column, state: dict[str, Column], cause: Column, actions: Column, evidence: Column, label_source: Column, licence: str, synthetic: Column, quality: str, resolved: Column, verification: str, outcome: dict[str, Column] | None = None) -> DataFrame:
+def decision_record(df: DataFrame, *, record_id: Column, source: str, group: Column, state: dict[str, Column], cause: Column, actions: Column, evidence: Column, label_source: Column, synthetic: Column, quality: str, resolved: Column, verification: str, outcome: dict[str, Column] | None = None) -> DataFrame:
     """(id, source, source_group, state, gold, outcome, provenance): state and gold as JSON texts, state with its fields and an empty list of previous actions.
 
     cause is one category, actions an array of active ones (uniform over these;
@@ -62,7 +71,7 @@ def decision_record(df: DataFrame, *, record_id: Column, source: str, group: Col
     )
     fields = F.struct(*[c.alias(n) for n, c in sorted({**state, "previous_actions": F.array().cast("array<string>")}.items())])
     facts = F.struct(resolved.cast("boolean").alias("resolved"), F.lit(verification).alias("verification"), *[c.alias(n) for n, c in (outcome or {}).items()])
-    provenance = F.struct(F.lit(licence).alias("license"), synthetic.alias("synthetic"), F.lit(quality).alias("quality"), label_source.alias("label_source"))
+    provenance = F.struct(F.lit(LICENCES.get(source, "audit required")).alias("license"), synthetic.alias("synthetic"), F.lit(quality).alias("quality"), label_source.alias("label_source"))
     keep = {"ignoreNullFields": "false"}
     return df.select(record_id.alias("id"), F.lit(source).alias("source"), group.alias("source_group"), F.to_json(fields, keep).alias("state"), F.to_json(gold).alias("gold"), facts.alias("outcome"), provenance.alias("provenance"))
 
@@ -76,21 +85,21 @@ def issues(df: DataFrame) -> DataFrame:
     files = F.coalesce("modified_files", F.array().cast("array<string>"))
     state = {"repository": F.col("repo"), "base_commit": F.coalesce("base_commit", F.lit("")), "issue_title": tx.clip(F.col("title"), 1200), "issue_body": tx.clip(F.col("body"), 5000), "bug_scope": F.col("level2")}
     told = lambda c: F.length(F.coalesce(c, F.lit(""))) > 0
-    return decision_record(df, record_id=F.concat(F.lit("hwe:"), F.col("id").cast("string")), source="hwe-bench", group=F.concat(F.lit("hwe:"), F.col("repo")), state=state, cause=_cause(F.col("title"), F.col("body"), F.col("level2")), actions=F.transform(files, tx.path_action), evidence=told(F.col("reproducer_signal")) | told(F.col("test_patch")), label_source=F.lit("verified_repair"), licence="Apache-2.0 metadata; upstream repositories retained", synthetic=F.lit(False), quality="gold", resolved=F.lit(True), verification="hwe_fail_to_pass", outcome={"modified_files": files})
+    return decision_record(df, record_id=F.concat(F.lit("hwe:"), F.col("id").cast("string")), source="hwe-bench", group=F.concat(F.lit("hwe:"), F.col("repo")), state=state, cause=_cause(F.col("title"), F.col("body"), F.col("level2")), actions=F.transform(files, tx.path_action), evidence=told(F.col("reproducer_signal")) | told(F.col("test_patch")), label_source=F.lit("verified_repair"), synthetic=F.lit(False), quality="gold", resolved=F.lit(True), verification="hwe_fail_to_pass", outcome={"modified_files": files})
 
 
 def bug_fixtures(df: DataFrame) -> DataFrame:
     """Bug tables: kind (runtime or synthesis), bug_id, language, bug_type, description, error, rtl."""
     state = {"source_kind": F.col("kind"), "language": F.col("language"), "bug_type": F.col("bug_type"), "description": tx.clip(F.col("description"), 2500), "error_message": tx.clip(F.col("error"), 3000), "rtl_context": tx.clip(F.col("rtl"), 5000)}
     name = F.concat_ws(":", F.lit("rootcause"), "kind", F.trim(F.col("bug_id").cast("string")))
-    return decision_record(df, record_id=name, source="RootCause-Bench", group=name, state=state, cause=_cause(F.col("language"), F.col("bug_type"), F.col("description"), F.col("error")), actions=F.array(F.lit("rtl")), evidence=F.lit(True), label_source=F.lit("manual_bug_label"), licence="Apache-2.0 repository; fixture audit required", synthetic=F.lit(False), quality="silver", resolved=F.lit(None), verification="benchmark_case")
+    return decision_record(df, record_id=name, source="RootCause-Bench", group=name, state=state, cause=_cause(F.col("language"), F.col("bug_type"), F.col("description"), F.col("error")), actions=F.array(F.lit("rtl")), evidence=F.lit(True), label_source=F.lit("manual_bug_label"), synthetic=F.lit(False), quality="silver", resolved=F.lit(None), verification="benchmark_case")
 
 
 def instructions(df: DataFrame) -> DataFrame:
     """Design requests: line, instruction. The group is the hash of the text."""
     text = F.coalesce("instruction", F.lit(""))
     state = {"task": tx.clip(text, 11000), "response_available": F.lit(False)}
-    return decision_record(df, record_id=F.concat(F.lit("origen:"), F.col("line").cast("string")), source="OriGen", group=F.concat(F.lit("origen:"), hashing.short_id(text)), state=state, cause=_cause(text), actions=F.array(F.lit("rtl")), evidence=text.rlike("(?i)error message|error|syntax|compile"), label_source=F.lit("repair_pair_unvalidated"), licence="GPL-3.0 dataset metadata", synthetic=F.lit(True), quality="bronze", resolved=F.lit(None), verification="not_replayed")
+    return decision_record(df, record_id=F.concat(F.lit("origen:"), F.col("line").cast("string")), source="OriGen", group=F.concat(F.lit("origen:"), hashing.short_id(text)), state=state, cause=_cause(text), actions=F.array(F.lit("rtl")), evidence=text.rlike("(?i)error message|error|syntax|compile"), label_source=F.lit("repair_pair_unvalidated"), synthetic=F.lit(True), quality="bronze", resolved=F.lit(None), verification="not_replayed")
 
 
 def simulated_mutants(df: DataFrame) -> DataFrame:
@@ -98,7 +107,7 @@ def simulated_mutants(df: DataFrame) -> DataFrame:
     ok = df.filter(F.col("simulation_status") == "sim_ok")
     repo, kind = F.coalesce("repo", F.lit("unknown")), F.coalesce("bug_type", F.lit("unknown"))
     state = {"repository": F.col("repo"), "module": F.col("module"), "rtl_context": tx.clip(F.col("rtl"), 9000), "simulation_log": tx.clip(F.col("log"), 3000), "tool": F.lit("simulator")}
-    return decision_record(ok, record_id=F.concat_ws(":", F.lit("rtl-augmented"), repo, "module", kind), source="RTL-augmented", group=F.concat_ws(":", F.lit("rtl-augmented"), repo, "module"), state=state, cause=_cause(kind), actions=F.array(F.lit("rtl")), evidence=F.lit(True), label_source=F.lit("validated_mutation"), licence="MIT", synthetic=F.lit(True), quality="silver_validated", resolved=F.lit(True), verification="sim_ok", outcome={"bug_type": kind})
+    return decision_record(ok, record_id=F.concat_ws(":", F.lit("rtl-augmented"), repo, "module", kind), source="RTL-augmented", group=F.concat_ws(":", F.lit("rtl-augmented"), repo, "module"), state=state, cause=_cause(kind), actions=F.array(F.lit("rtl")), evidence=F.lit(True), label_source=F.lit("validated_mutation"), synthetic=F.lit(True), quality="silver_validated", resolved=F.lit(True), verification="sim_ok", outcome={"bug_type": kind})
 
 
 def assertion_tree(df: DataFrame) -> DataFrame:
@@ -106,7 +115,7 @@ def assertion_tree(df: DataFrame) -> DataFrame:
     folder, stem = F.regexp_extract("path", r"([^/]+)/[^/]*$", 1), F.regexp_extract("path", r"([^/]+?)(?:\.[^/.]*)?$", 1)
     made = F.col("variant") == "buggy_rtl"
     state = {"module": stem, "hierarchy_group": folder, "rtl_context": tx.clip(F.col("text"), 9000)}
-    return decision_record(df, record_id=F.concat_ws(":", F.lit("hiersva"), "variant", "path"), source="HierSVA", group=F.concat_ws(":", F.lit("hiersva"), folder, stem), state=state, cause=_cause(F.col("notes")), actions=F.array(F.lit("rtl")), evidence=F.lit(True), label_source=F.when(made, "synthetic_bug_pattern").otherwise("historical_bug"), licence="Solderpad Hardware License 2.1 plus BaseJump provenance", synthetic=made, quality="silver_formal_context", resolved=F.lit(None), verification="formal_benchmark")
+    return decision_record(df, record_id=F.concat_ws(":", F.lit("hiersva"), "variant", "path"), source="HierSVA", group=F.concat_ws(":", F.lit("hiersva"), folder, stem), state=state, cause=_cause(F.col("notes")), actions=F.array(F.lit("rtl")), evidence=F.lit(True), label_source=F.when(made, "synthetic_bug_pattern").otherwise("historical_bug"), synthetic=made, quality="silver_formal_context", resolved=F.lit(None), verification="formal_benchmark")
 
 
 def prompt_tree(df: DataFrame) -> DataFrame:
@@ -114,7 +123,7 @@ def prompt_tree(df: DataFrame) -> DataFrame:
     family, stem = F.regexp_extract("path", r"([^/]+)/[^/]*$", 1), F.regexp_extract("path", r"([^/]+?)(?:_prompt\.txt)?$", 1)
     name = F.concat_ws(":", F.lit("chipbench"), family, stem)
     state = {"benchmark_task": F.lit("chipbench_debug"), "bug_family": family, "problem": tx.clip(F.col("text"), 11000), "tool": F.lit("Icarus/functional simulation")}
-    return decision_record(df, record_id=name, source="Inspect-Eval-ChipBench", group=name, state=state, cause=_cause(family, stem), actions=F.array(F.lit("rtl")), evidence=F.lit(True), label_source=F.lit("benchmark_bug_family"), licence="MIT harness; benchmark artifact audit required", synthetic=F.lit(True), quality="silver_benchmark", resolved=F.lit(None), verification="reference_and_test_artifacts_present")
+    return decision_record(df, record_id=name, source="Inspect-Eval-ChipBench", group=name, state=state, cause=_cause(family, stem), actions=F.array(F.lit("rtl")), evidence=F.lit(True), label_source=F.lit("benchmark_bug_family"), synthetic=F.lit(True), quality="silver_benchmark", resolved=F.lit(None), verification="reference_and_test_artifacts_present")
 
 
 def with_status(df: DataFrame, column: str, statuses: Sequence[str]) -> DataFrame:
