@@ -60,8 +60,10 @@ def decision_record(df: DataFrame, *, record_id: Column, source: str, group: Col
     without any, all on 'abstain'); evidence says whether the evidence suffices,
     null as not.
     """
-    cause_p = F.array(*[(cause == c).cast("double") for c in CAUSES])
-    action_p = dist.uniform_over(F.array(*map(F.lit, ACTIONS)), actions)
+    # texts are searched once, before the options are told apart
+    df = df.withColumns({"_cause": cause, "_actions": actions})
+    cause_p = F.array(*[(F.col("_cause") == c).cast("double") for c in CAUSES])
+    action_p = dist.uniform_over(F.array(*map(F.lit, ACTIONS)), F.col("_actions"))
     enough = F.coalesce(evidence, F.lit(False)).cast("double")
     head = lambda p: F.struct(p.alias("probabilities"), label_source.alias("label_source"))
     gold = F.struct(
